@@ -33,6 +33,7 @@ class Contract:
     date_fields: tuple[str, ...]         # source fields typed to DATE
     rules: tuple[Rule, ...]              # all must hold for a clean record
     partition_column: str                # silver partition column
+    partition_expr: str | None = None    # SQL for a derived partition column (DATE)
     nested_field: str = "genres"         # JSON array kept as text
     nested_ddl: str = "ARRAY<STRUCT<id: BIGINT, name: STRING>>"
     repairs: dict[str, str] = field(default_factory=dict)   # column -> SQL expression
@@ -47,7 +48,8 @@ class Contract:
         return [self.key_column if f == self.key_field else f for f in self.source_fields]
 
     def silver_fields(self) -> list[str]:
-        return self.typed_fields()
+        """Silver columns: typed fields, then a derived partition column if any."""
+        return self.typed_fields() + ([self.partition_column] if self.partition_expr else [])
 
     def typed_ddl(self) -> str:
         parts = []
@@ -101,7 +103,10 @@ ORDER_CONTRACT = Contract(
     date_fields=("ReleaseDate",),
     rules=(Rule("runtime_non_negative", "RunTime >= 0"),
            Rule("budget_floor", f"Budget >= {ORDER_BUDGET_FLOOR}")),
-    partition_column="ReleaseDate",
+    # Monthly partitions: about 85 folders over the feed's seven years, so a
+    # partition stays large at any scale factor, and a filter on the month prunes.
+    partition_column="p_release_month",
+    partition_expr="trunc(ReleaseDate, 'MM')",
     repairs={"RunTime": "abs(RunTime)",
              "Budget": f"greatest(coalesce(Budget, {ORDER_BUDGET_FLOOR}D), {ORDER_BUDGET_FLOOR}D)"},
 )

@@ -12,6 +12,8 @@ from ..functions.parsing import parse_nested
 def silver_wide(clean: DataFrame, contract: Contract, keep_key: bool = True) -> DataFrame:
     """Typed columns in contract order without ``value``; ``record_key`` last when kept
     (it lets a later status write-back or re-run find the bronze line)."""
+    if contract.partition_expr:
+        clean = clean.withColumn(contract.partition_column, F.expr(contract.partition_expr))
     cols = contract.silver_fields() + (["record_key"] if keep_key and "record_key" in clean.columns else [])
     return clean.select(*cols)
 

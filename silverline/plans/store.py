@@ -100,7 +100,9 @@ class MedallionStore:
         return self._segments(self.paths.bronze_closed, BRONZE_DDL, v).unionByName(self.open_rows(v))
 
     def silver_ddl(self) -> str:
-        return f"{self.contract.typed_ddl()}, record_key STRING"
+        c = self.contract
+        derived = f", {c.partition_column} DATE" if c.partition_expr else ""
+        return f"{c.typed_ddl()}{derived}, record_key STRING"
 
     def table(self, name: str, version: int | None = None) -> DataFrame:
         c = self.contract
@@ -147,9 +149,8 @@ class MedallionStore:
         candidates = open_v.where(F.col("status") == STATUS_NEW)
         if raw_path is not None:
             lines = self._fresh_files(read_text_lines(self.spark, raw_path, with_file=True), v)
-            (lines.select("source_file").distinct().write.mode("overwrite")
-             .parquet(f"{self.paths.ingested_files}/commit={n}"))
-            candidates = candidates.unionByName(to_bronze(lines.select("value"), self.source, now))
+            fresh = to_bronze(lines, self.source, now, keep=("source_file",))
+            candidates = candidates.withColumn("source_file", F.lit(None).cast("string")).unionByName(fresh)
         elif raw is not None:
             candidates = candidates.unionByName(to_bronze(raw.select("value"), self.source, now))
         carry = open_v.where(F.col("status") != STATUS_NEW)
@@ -198,14 +199,19 @@ class MedallionStore:
         stage_path = f"{self.paths.staging}/{seg}"
         routed.write.mode("overwrite").parquet(stage_path)
         st = self.spark.read.schema(routed.schema).parquet(stage_path)
+        if "source_file" in st.columns:      # files taken by this batch, for later runs to skip
+            (st.where(F.col("source_file").isNotNull()).select("source_file").distinct()
+             .write.mode("overwrite").parquet(f"{self.paths.ingested_files}/{seg}"))
         clean = st.where(F.col("route") == CLEAN)
 
-        wide = derive.silver_wide(dedupe_records(clean), c)
+        # REBALANCE clusters rows by the partition column (one file per value and
+        # task, not one per value in every task) and lets adaptive execution
+        # split a value that holds a large share of the rows over several tasks.
         part = c.partition_column
+        wide = derive.silver_wide(dedupe_records(clean), c).hint("rebalance", part)
         wide.write.mode("overwrite").partitionBy(part).parquet(f"{self.paths.silver}/{seg}")
-        wide_now = self.spark.read.schema(wide.schema).parquet(f"{self.paths.silver}/{seg}")
-        (derive.silver_movie(wide_now, c).write.mode("overwrite").partitionBy(part)
-         .parquet(f"{self.paths.silver_movie}/{seg}"))
+        movie = derive.silver_movie(derive.silver_wide(dedupe_records(clean), c), c).hint("rebalance", part)
+        movie.write.mode("overwrite").partitionBy(part).parquet(f"{self.paths.silver_movie}/{seg}")
 
         if repairing and self.population == "all":
             population = None            # these records were derived when first routed

@@ -171,7 +171,9 @@ def source_id(df: DataFrame) -> DataFrame:
 
 
 def _typed_view(spark, sf_dir) -> DataFrame:
-    return view(parsed(spark, sf_dir))
+    """Standard view plus the contract's (monthly) partition column."""
+    v = view(parsed(spark, sf_dir))
+    return v.withColumn(CONTRACT.partition_column, F.expr(CONTRACT.partition_expr))
 
 
 def q_sink_create_only(spark, sf_dir):
@@ -191,7 +193,7 @@ def _two_appends(spark, sf_dir, partition_by):
 
 
 def q_sink_append_partitioned(spark, sf_dir):
-    return _two_appends(spark, sf_dir, "ReleaseDate")
+    return _two_appends(spark, sf_dir, CONTRACT.partition_column)
 
 
 def q_sink_append(spark, sf_dir):
@@ -201,8 +203,9 @@ def q_sink_append(spark, sf_dir):
 def q_sink_batch_writer(spark, sf_dir):
     path = scratch_path(spark, "batch-writer")
     p = parsed(spark, sf_dir).withColumns({"n_genres": n_genres_of_text(),
-                                           "Id": F.get_json_object("value", "$.Id")})
-    K.write_batch(p, path, partition_by="ReleaseDate",
+                                           "Id": F.get_json_object("value", "$.Id"),
+                                           CONTRACT.partition_column: F.expr(CONTRACT.partition_expr)})
+    K.write_batch(p, path, partition_by=CONTRACT.partition_column,
                   exclude=["value", "record_key", "datasource", "ingesttime", "status", "p_ingestdate",
                            "genres", "_checks"])
     return spark.read.parquet(path).select(*VIEW)
@@ -220,7 +223,7 @@ def q_sink_json_lines(spark, sf_dir):
 
 def q_register_external(spark, sf_dir):
     path = scratch_path(spark, "external")
-    K.write_create_only(_typed_view(spark, sf_dir), path, partition_by="ReleaseDate")
+    K.write_create_only(_typed_view(spark, sf_dir), path, partition_by=CONTRACT.partition_column)
     C.ensure_database(spark, "silverline_db")
     name = "silverline_db.typed_" + path.rsplit("-", 1)[-1]
     return C.register_external(spark, name, path, partitioned=True).select(*VIEW)
@@ -475,28 +478,36 @@ def _batched_store(spark, sf_dir, tag) -> MedallionStore:
     return store
 
 
+def batched_store(spark, sf_dir) -> MedallionStore:
+    """One batch run over the whole feed, shared by the read-only silver queries."""
+    root = _cached(spark, sf_dir, "batched-store",
+                   lambda p: MedallionStore(spark, p, CONTRACT).run_batch(
+                       raw_path=raw_feed_path(spark, sf_dir), now=FIXED_NOW))
+    return MedallionStore(spark, root, CONTRACT)
+
+
 def q_silver_wide(spark, sf_dir):
-    return view(_batched_store(spark, sf_dir, "silver-wide").table("silver"))
+    return view(batched_store(spark, sf_dir).table("silver"))
 
 
 def q_silver_movie(spark, sf_dir):
-    return _batched_store(spark, sf_dir, "silver-movie").table("silver_movie").select(*TYPED)
+    return batched_store(spark, sf_dir).table("silver_movie").select(*TYPED)
 
 
 def q_silver_genre(spark, sf_dir):
-    return _batched_store(spark, sf_dir, "silver-genre").table("genre")
+    return batched_store(spark, sf_dir).table("genre")
 
 
 def q_genre_dimension(spark, sf_dir):
-    return _batched_store(spark, sf_dir, "genre-dim").table("genre_dim")
+    return batched_store(spark, sf_dir).table("genre_dim")
 
 
 def q_silver_language(spark, sf_dir):
-    return _batched_store(spark, sf_dir, "silver-language").table("language")
+    return batched_store(spark, sf_dir).table("language")
 
 
 def q_silver_bridge(spark, sf_dir):
-    return _batched_store(spark, sf_dir, "silver-bridge").table("bridge")
+    return batched_store(spark, sf_dir).table("bridge")
 
 
 def q_run_batch(spark, sf_dir):

@@ -6,25 +6,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _partitioned(df: DataFrame, partition_by: str | list[str] | None, cluster: bool):
+    """(frame, columns). With ``cluster``, rows are REBALANCEd on the partition
+    columns first: each value is written by few tasks (few files), and adaptive
+    execution splits a value holding many rows over several tasks."""
+    if not partition_by:
+        return df, []
+    cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    return (df.hint("rebalance", *cols) if cluster else df), cols
+
+
 def write_create_only(df: DataFrame, path: str, fmt: str = "parquet",
-                      partition_by: str | list[str] | None = None) -> str:
+                      partition_by: str | list[str] | None = None, cluster: bool = True) -> str:
     """Write a new table; fails if ``path`` already exists."""
+    df, cols = _partitioned(df, partition_by, cluster)
     w = df.write.format(fmt).mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    if cols:
+        w = w.partitionBy(*cols)
     w.save(path)
     return path
 
 
 def write_batch(df: DataFrame, path: str, partition_by: str | list[str] | None = None,
                 exclude: list[str] | tuple[str, ...] = (), mode: str = "append",
-                fmt: str = "parquet") -> str:
+                fmt: str = "parquet", cluster: bool = True) -> str:
     """Generic batch writer: drop ``exclude``, then write. Appends unless
     another mode (``overwrite``, ``errorifexists``) is asked for."""
-    out = df.drop(*exclude)
+    out, cols = _partitioned(df.drop(*exclude), partition_by, cluster)
     w = out.write.format(fmt).mode(mode)
-    if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    if cols:
+        w = w.partitionBy(*cols)
     w.save(path)
     return path
 
