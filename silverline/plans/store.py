@@ -37,6 +37,8 @@ from ..sources.files import read_text_lines
 
 COMMITS_DDL = "version INT, kind STRING, committed_at TIMESTAMP"
 FILES_DDL = "source_file STRING"
+# Largest file list (bytes of path text, a bound known from the listing) joined by broadcast.
+FILE_LIST_BROADCAST_BYTES = 8 * 1024 * 1024
 
 
 class MedallionStore:
@@ -136,9 +138,34 @@ class MedallionStore:
         return v + 1
 
     def _fresh_files(self, lines: DataFrame, v: int) -> DataFrame:
+        """Rows of ``lines`` (with ``source_file``) from files no earlier commit took.
+
+        Used for the stream arrivals table, whose rows carry their source file."""
         seen = self._segments(self.paths.ingested_files, FILES_DDL, v)
         return lines.join(seen, "source_file", "left_anti")
 
+    def _fresh_lines(self, raw_path: str, v: int) -> DataFrame:
+        """Lines of the raw files under ``raw_path`` that no earlier commit took.
+
+        The check runs per file, not per line: the listing the driver already
+        made for the scan is turned into a small frame of paths and anti-joined
+        with the file log. Its size is bounded by the listing, so it is
+        broadcast when that bound is small, and the lines are never shuffled;
+        above the bound a shuffled semi-join (skew split by adaptive execution)
+        is used instead.
+        """
+        lines = read_text_lines(self.spark, raw_path, with_file=True)
+        listed = lines.inputFiles()
+        if v == 0 or not listed:
+            return lines
+        files = (self.spark.createDataFrame([(p,) for p in listed], FILES_DDL)
+                 .select(F.regexp_replace("source_file", r"^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+                         .alias("source_file"))
+                 .join(self._segments(self.paths.ingested_files, FILES_DDL, v), "source_file", "left_anti"))
+        if sum(len(p) + 16 for p in listed) <= FILE_LIST_BROADCAST_BYTES:
+            files = F.broadcast(files)
+        return lines.join(files, "source_file", "left_semi")
+
     def run_batch(self, raw_path: str | None = None, raw: DataFrame | None = None,
                   now: dt.datetime | str | None = None) -> int:
         """Ingest new raw files (skipping files ingested before) or lines, then
@@ -148,7 +175,7 @@ class MedallionStore:
         open_v = self.open_rows(v)
         candidates = open_v.where(F.col("status") == STATUS_NEW)
         if raw_path is not None:
-            lines = self._fresh_files(read_text_lines(self.spark, raw_path, with_file=True), v)
+            lines = self._fresh_lines(raw_path, v)
             fresh = to_bronze(lines, self.source, now, keep=("source_file",))
             candidates = candidates.withColumn("source_file", F.lit(None).cast("string")).unionByName(fresh)
         elif raw is not None:
@@ -210,8 +237,11 @@ class MedallionStore:
         part = c.partition_column
         wide = derive.silver_wide(dedupe_records(clean), c).hint("rebalance", part)
         wide.write.mode("overwrite").partitionBy(part).parquet(f"{self.paths.silver}/{seg}")
-        movie = derive.silver_movie(derive.silver_wide(dedupe_records(clean), c), c).hint("rebalance", part)
-        movie.write.mode("overwrite").partitionBy(part).parquet(f"{self.paths.silver_movie}/{seg}")
+        # The movie table is the wide segment just written, minus the nested text:
+        # its files are already one per partition value, so no shuffle is needed.
+        wide_now = self.spark.read.schema(wide.schema).parquet(f"{self.paths.silver}/{seg}")
+        (derive.silver_movie(wide_now, c).write.mode("overwrite").partitionBy(part)
+         .parquet(f"{self.paths.silver_movie}/{seg}"))
 
         if repairing and self.population == "all":
             population = None            # these records were derived when first routed
@@ -225,7 +255,9 @@ class MedallionStore:
             (derive.genre_dimension(g_now).join(known, ["genres_id", "name"], "left_anti")
              .write.mode("overwrite").parquet(f"{self.paths.genre_dim}/{seg}"))
             derive.language_rows(population, c).write.mode("overwrite").parquet(f"{self.paths.language}/{seg}")
-            derive.bridge_rows(population, c).write.mode("overwrite").parquet(f"{self.paths.bridge}/{seg}")
+            # bridge = key pairs of the genre rows (typed Parquet; no second parse or explode)
+            (g_now.select(c.key_column, "genres_id").dropDuplicates()
+             .write.mode("overwrite").parquet(f"{self.paths.bridge}/{seg}"))
 
         (status_from_route(clean).write.mode("overwrite").partitionBy("p_ingestdate")
          .parquet(f"{self.paths.bronze_closed}/{seg}"))
