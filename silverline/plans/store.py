@@ -52,14 +52,22 @@ class MedallionStore:
         self.source = source
         self.population = population
         self.null_policy = null_policy
+        self._version: int | None = None
 
     # ------------------------------------------------------------------ commits
-    def version(self) -> int:
+    def refresh(self) -> int:
+        """Re-read the last commit number from the commit log (one tiny job)."""
         try:
             v = self.spark.read.schema(COMMITS_DDL).parquet(self.paths.commits).agg(F.max("version")).first()[0]
         except AnalysisException:
-            return 0
-        return int(v or 0)
+            v = 0
+        self._version = int(v or 0)
+        return self._version
+
+    def version(self) -> int:
+        """Last commit this object knows of (read once, then kept up to date by
+        its own commits; call :meth:`refresh` to see other writers' commits)."""
+        return self.refresh() if self._version is None else self._version
 
     def commits(self) -> DataFrame:
         return self.spark.read.schema(COMMITS_DDL).parquet(self.paths.commits)
@@ -68,6 +76,7 @@ class MedallionStore:
         (self.spark.range(1).select(F.lit(version).cast("int").alias("version"), F.lit(kind).alias("kind"),
                                     F.current_timestamp().alias("committed_at"))
          .write.mode("append").parquet(self.paths.commits))
+        self._version = version
 
     # ------------------------------------------------------------------ readers
     def _empty(self, ddl: str) -> DataFrame:
