@@ -42,10 +42,14 @@ def feed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    genres = (order_parts(spark, sf_dir)
-              .groupBy("k")
-              .agg(F.array_sort(F.collect_list(F.struct(F.col("genres_id").alias("id"), "name")))
-                   .alias("genres")))
+    li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    part = _table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    # collect_set dedupes (id, name) in the partial aggregate before the one
+    # shuffle on the order key; array_sort orders each list by id.
+    genres = (li.join(part, li.l_partkey == part.p_partkey)
+              .groupBy(F.col("l_orderkey").alias("k"))
+              .agg(F.array_sort(F.collect_set(F.struct(F.col("p_partkey").alias("id"),
+                                                       F.col("p_name").alias("name")))).alias("genres")))
     k = F.col("o_orderkey")
     base = (orders.join(customer, orders.o_custkey == customer.c_custkey)
             .join(genres, k == genres.k, "left")
