@@ -23,6 +23,10 @@ SESSION_DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.json.filterPushdown.enabled": "true",
+    # Task output goes straight to the table folder (one rename, not two). A
+    # failed job can leave files behind, but readers of the store only see
+    # segments of committed batches and a retry overwrites its own segment.
+    "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "2",
 }
 
 
