@@ -148,3 +148,18 @@ def test_ingest_time_is_fixed_when_given(spark):
     b = B.to_bronze(spark.createDataFrame([("x",)], "value STRING"), now="2024-05-06 07:08:09")
     r = b.select(F.date_format("ingesttime", "yyyy-MM-dd HH:mm:ss").alias("t"), "p_ingestdate", "status").first()
     assert (r.t, r.p_ingestdate, r.status) == ("2024-05-06 07:08:09", dt.date(2024, 5, 6), "new")
+
+
+def test_order_by_id_is_sorted(spark):
+    from silverline import registry as Rg
+    ids = [r.movie_id for r in Rg.QUERIES["order_by_id"](spark, "/root/testdata/sf0.001").collect()]
+    assert ids == sorted(ids) and len(ids) == 1085
+
+
+def test_read_status_since_filters_ingest_date(spark):
+    rows = spark.createDataFrame([("a",)], "value STRING")
+    old = B.to_bronze(rows, now="2024-01-01 00:00:00")
+    new = B.to_bronze(rows, now="2024-03-01 00:00:00")
+    both = old.unionByName(new)
+    assert B.read_new(both).count() == 2
+    assert B.read_new(both, since="2024-02-01").count() == 1

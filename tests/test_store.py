@@ -86,3 +86,14 @@ def test_stream_ingest_is_incremental_and_folds_into_bronze(spark):
     assert store.bronze().count() == 1650
     store.run_batch()
     assert store.table("silver").count() == 1085
+
+
+def test_population_clean_derives_only_loaded_records(spark):
+    raw = Rg.raw_feed_path(spark, SMALL_SF)
+    store = MedallionStore(spark, scratch_path(spark, "clean-pop"), ORDER_CONTRACT, population="clean")
+    store.run_batch(raw_path=raw)
+    assert store.table("language").count() == 1085
+    keys = store.table("bridge").select("movie_id").distinct()
+    assert keys.join(store.table("silver"), "movie_id", "left_anti").count() == 0
+    store.run_repair()
+    assert store.table("language").count() == 1085 + 400
