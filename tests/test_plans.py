@@ -62,3 +62,11 @@ def test_silver_write_is_rebalanced_on_partition_column(spark):
 def test_record_dedupe_aggregates_partially_before_shuffle(spark):
     txt = plan_text(R.dedupe_records(Rg.routed(spark, SMALL_SF)))
     assert txt.count("HashAggregate") + txt.count("SortAggregate") + txt.count("ObjectHashAggregate") >= 2
+
+
+def test_derived_tables_read_only_needed_staged_columns(spark):
+    from silverline.operators import derive as D
+    store = MedallionStore(spark, scratch_path(spark, "plan-stage"), ORDER_CONTRACT)
+    store.run_batch(raw_path=Rg.raw_feed_path(spark, SMALL_SF))
+    txt = plan_text(D.genre_rows(store.table("staging"), ORDER_CONTRACT))
+    assert "ReadSchema: struct<movie_id:bigint,genres:string>" in txt
