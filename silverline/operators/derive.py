@@ -70,5 +70,11 @@ def bridge_join(movies: DataFrame, genres: DataFrame, contract: Contract, dedupe
 
 
 def order_by_key(df: DataFrame, contract: Contract) -> DataFrame:
-    """Total sort on the key (range-partitioned sort, no single-task collect)."""
-    return df.orderBy(contract.key_column)
+    """Total sort on the key (range-partitioned sort, no single-task collect).
+
+    ``record_key`` (when present) breaks ties, so the range partitioner can
+    split a key shared by many rows over several tasks; the order by key is
+    the same.
+    """
+    tiebreak = ["record_key"] if "record_key" in df.columns else []
+    return df.orderBy(contract.key_column, *tiebreak)
