@@ -131,8 +131,15 @@ class MedallionStore:
         if name == "bronze":
             return self.bronze(version)
         if name == "staging":
+            # every routed line of every batch and repair, with its reasons
             v = self.version() if version is None else version
-            return self.spark.read.parquet(f"{self.paths.staging}/commit={v}")
+            if v == 0:
+                return self._empty("value STRING")
+            try:
+                df = self.spark.read.parquet(self.paths.staging)
+            except AnalysisException:
+                return self._empty("value STRING")
+            return df.where(F.col("commit") <= v)
         path, ddl = specs[name]
         return self._segments(path, ddl, version)
 
@@ -189,6 +196,8 @@ class MedallionStore:
             candidates = candidates.withColumn("source_file", F.lit(None).cast("string")).unionByName(fresh)
         elif raw is not None:
             candidates = candidates.unionByName(to_bronze(raw.select("value"), self.source, now))
+        if "source_file" not in candidates.columns:
+            candidates = candidates.withColumn("source_file", F.lit(None).cast("string"))
         carry = open_v.where(F.col("status") != STATUS_NEW)
         self._process(candidates, carry, n, repairing=False)
         self._commit(n, "batch")
@@ -215,7 +224,8 @@ class MedallionStore:
         v = self.version()
         n = v + 1
         open_v = self.open_rows(v)
-        candidates = open_v.where(F.col("status") == STATUS_QUARANTINED)
+        candidates = (open_v.where(F.col("status") == STATUS_QUARANTINED)
+                      .withColumn("source_file", F.lit(None).cast("string")))
         carry = open_v.where(F.col("status") != STATUS_QUARANTINED)
         self._process(candidates, carry, n, repairing=True)
         self._commit(n, "repair")

@@ -31,6 +31,10 @@ def test_batch_then_repair(spark):
     store.run_repair()
     silver = store.table("silver")
     assert silver.count() == 1085 + 400
+    staged = store.table("staging")            # routing history of both runs
+    assert staged.where("commit = 1").count() == 1650
+    loaded_first = staged.where("commit = 1 AND route = 'clean'").count()
+    assert staged.where("commit = 2").count() == 1650 - loaded_first
     assert silver.where((F.col("RunTime") < 0) | (F.col("Budget") < 100000) | F.col("Budget").isNull()).count() == 0
     left = store.bronze().where(F.col("status") == "quarantined")
     # only records with a bad key stay quarantined
