@@ -43,7 +43,8 @@ FILE_LIST_BROADCAST_BYTES = 8 * 1024 * 1024
 
 class MedallionStore:
     def __init__(self, spark: SparkSession, root: str, contract: Contract = ORDER_CONTRACT,
-                 source: str = DEFAULT_SOURCE, population: str = "all", null_policy: str = "quarantine"):
+                 source: str = DEFAULT_SOURCE, population: str = "all", null_policy: str = "quarantine",
+                 history_dedupe: bool = False):
         if population not in ("all", "clean"):
             raise ValueError("population is 'all' or 'clean'")
         self.spark = spark
@@ -52,6 +53,9 @@ class MedallionStore:
         self.source = source
         self.population = population
         self.null_policy = null_policy
+        # Also skip lines already loaded by an earlier commit: an anti-join on the
+        # 64-character record key against silver's key column (cost grows with history).
+        self.history_dedupe = history_dedupe
         self._version: int | None = None
 
     # ------------------------------------------------------------------ commits
@@ -134,11 +138,11 @@ class MedallionStore:
             # every routed line of every batch and repair, with its reasons
             v = self.version() if version is None else version
             if v == 0:
-                return self._empty("value STRING")
+                return self._empty("value STRING, record_key STRING")
             try:
                 df = self.spark.read.parquet(self.paths.staging)
             except AnalysisException:
-                return self._empty("value STRING")
+                return self._empty("value STRING, record_key STRING")
             return df.where(F.col("commit") <= v)
         path, ddl = specs[name]
         return self._segments(path, ddl, version)
@@ -254,7 +258,11 @@ class MedallionStore:
         # task, not one per value in every task) and lets adaptive execution
         # split a value that holds a large share of the rows over several tasks.
         part = c.partition_column
-        wide = derive.silver_wide(dedupe_records(clean), c).hint("rebalance", part)
+        records = dedupe_records(clean)
+        loaded = self.table("silver", n - 1).select("record_key") if self.history_dedupe else None
+        if loaded is not None:
+            records = records.join(loaded, "record_key", "left_anti")
+        wide = derive.silver_wide(records, c).hint("rebalance", part)
         wide.write.mode("overwrite").partitionBy(part).parquet(f"{self.paths.silver}/{seg}")
         # The movie table is the wide segment just written, minus the nested text:
         # its files are already one per partition value, so no shuffle is needed.
@@ -266,6 +274,12 @@ class MedallionStore:
             population = None            # these records were derived when first routed
         else:
             population = st if self.population == "all" else clean
+        if population is not None and loaded is not None:
+            # a batch skips lines routed by any earlier run (their rows were derived
+            # then); a repair's records were routed before by definition, so it
+            # skips only lines already loaded
+            seen = loaded if repairing else self.table("staging", n - 1).select("record_key")
+            population = population.join(seen, "record_key", "left_anti")
         if population is not None:
             genres = derive.genre_rows(population, c)
             genres.write.mode("overwrite").parquet(f"{self.paths.genre}/{seg}")

@@ -101,3 +101,16 @@ def test_population_clean_derives_only_loaded_records(spark):
     assert keys.join(store.table("silver"), "movie_id", "left_anti").count() == 0
     store.run_repair()
     assert store.table("language").count() == 1085 + 400
+
+
+def test_history_dedupe_skips_lines_loaded_before(spark):
+    ls = Rg.lines(spark, SMALL_SF)
+    store = MedallionStore(spark, scratch_path(spark, "hist"), ORDER_CONTRACT, history_dedupe=True)
+    store.run_batch(raw=ls)
+    store.run_batch(raw=ls)                      # the same lines arrive again
+    assert store.table("silver").count() == 1085
+    assert store.table("bridge").count() == store.table("bridge").distinct().count()
+    plain = _store(spark, "no-hist")
+    plain.run_batch(raw=ls)
+    plain.run_batch(raw=ls)
+    assert plain.table("silver").count() == 2 * 1085
