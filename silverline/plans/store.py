@@ -4,9 +4,12 @@ Layout below ``root`` (see :class:`~silverline.contract.TablePaths`):
 
 * ``bronze/closed/commit=N/p_ingestdate=D`` – rows whose status is final
   (``loaded``); append-only, never rewritten.
-* ``bronze/open/v=N/status=S/p_ingestdate=D`` – snapshot of the rows still
-  open (``new``, ``quarantined``) as of commit N. Only this working set is
-  rewritten by a status change, never the loaded history.
+* ``bronze/open/commit=N/status=S/p_ingestdate=D`` – rows that entered an
+  open status (``new``, ``quarantined``) at commit N; append-only as well. A
+  batch consumes every live ``new`` segment and a repair every live
+  ``quarantined`` segment; each commit records the two watermarks below which
+  segments of a status are consumed, so nothing is ever rewritten: a status
+  change is a new row in a new segment, and a batch writes only its own rows.
 * ``silver/*/commit=N/...`` – every silver table is a set of segments, one
   per commit.
 * ``staging/commit=N`` – the routed batch, written once: the JSON is parsed
@@ -35,7 +38,8 @@ from ..operators.bronze import BRONZE_DDL, status_from_route, to_bronze
 from ..operators.routing import CLEAN, dedupe_records, parse_records, repair, route
 from ..sources.files import read_text_lines
 
-COMMITS_DDL = "version INT, kind STRING, committed_at TIMESTAMP"
+COMMITS_DDL = ("version INT, kind STRING, committed_at TIMESTAMP, "
+               "new_upto INT, quarantined_upto INT")
 FILES_DDL = "source_file STRING"
 # Largest file list (bytes of path text, a bound known from the listing) joined by broadcast.
 FILE_LIST_BROADCAST_BYTES = 8 * 1024 * 1024
@@ -56,31 +60,50 @@ class MedallionStore:
         # Also skip lines already loaded by an earlier commit: an anti-join on the
         # 64-character record key against silver's key column (cost grows with history).
         self.history_dedupe = history_dedupe
-        self._version: int | None = None
+        self._state: tuple[int, int, int] | None = None
 
     # ------------------------------------------------------------------ commits
-    def refresh(self) -> int:
-        """Re-read the last commit number from the commit log (one tiny job)."""
+    def _read_state(self, version: int | None = None) -> tuple[int, int, int]:
+        """(version, new_upto, quarantined_upto) of the last commit, or of ``version``."""
         try:
-            v = self.spark.read.schema(COMMITS_DDL).parquet(self.paths.commits).agg(F.max("version")).first()[0]
+            log = self.spark.read.schema(COMMITS_DDL).parquet(self.paths.commits)
+            if version is not None:
+                log = log.where(F.col("version") == version)
+            row = log.orderBy(F.col("version").desc()).select("version", "new_upto", "quarantined_upto").first()
         except AnalysisException:
-            v = 0
-        self._version = int(v or 0)
-        return self._version
+            row = None
+        return (0, 0, 0) if row is None else (int(row[0]), int(row[1]), int(row[2]))
+
+    def refresh(self) -> int:
+        """Re-read the last commit from the commit log (one tiny job)."""
+        self._state = self._read_state()
+        return self._state[0]
 
     def version(self) -> int:
         """Last commit this object knows of (read once, then kept up to date by
         its own commits; call :meth:`refresh` to see other writers' commits)."""
-        return self.refresh() if self._version is None else self._version
+        if self._state is None:
+            self.refresh()
+        return self._state[0]
+
+    def _watermarks(self, version: int) -> tuple[int, int]:
+        if self._state is None:
+            self.refresh()
+        if version == self._state[0]:
+            return self._state[1], self._state[2]
+        _, new_upto, q_upto = self._read_state(version)
+        return new_upto, q_upto
 
     def commits(self) -> DataFrame:
         return self.spark.read.schema(COMMITS_DDL).parquet(self.paths.commits)
 
-    def _commit(self, version: int, kind: str) -> None:
+    def _commit(self, version: int, kind: str, new_upto: int, quarantined_upto: int) -> None:
         (self.spark.range(1).select(F.lit(version).cast("int").alias("version"), F.lit(kind).alias("kind"),
-                                    F.current_timestamp().alias("committed_at"))
+                                    F.current_timestamp().alias("committed_at"),
+                                    F.lit(new_upto).cast("int").alias("new_upto"),
+                                    F.lit(quarantined_upto).cast("int").alias("quarantined_upto"))
          .write.mode("append").parquet(self.paths.commits))
-        self._version = version
+        self._state = (version, new_upto, quarantined_upto)
 
     # ------------------------------------------------------------------ readers
     def _empty(self, ddl: str) -> DataFrame:
@@ -99,15 +122,23 @@ class MedallionStore:
         return df.where(F.col("commit") <= v).select(*names)
 
     def open_rows(self, version: int | None = None) -> DataFrame:
+        """Rows whose status is still open: live ``new`` and ``quarantined`` segments.
+
+        The filter is on partition columns (``commit``, ``status``) only, so
+        consumed segments are pruned at listing time and never read."""
         v = self.version() if version is None else version
         if v == 0:
             return self._empty(BRONZE_DDL)
+        new_upto, q_upto = self._watermarks(v)
         from pyspark.sql.types import StructType
         names = StructType.fromDDL(BRONZE_DDL).fieldNames()
         try:
-            return self.spark.read.schema(BRONZE_DDL).parquet(f"{self.paths.bronze_open}/v={v}").select(*names)
+            df = self.spark.read.schema(f"{BRONZE_DDL}, commit INT").parquet(self.paths.bronze_open)
         except AnalysisException:
             return self._empty(BRONZE_DDL)
+        live = (((F.col("status") == STATUS_NEW) & (F.col("commit") > new_upto))
+                | ((F.col("status") == STATUS_QUARANTINED) & (F.col("commit") > q_upto)))
+        return df.where((F.col("commit") <= v) & live).select(*names)
 
     def bronze(self, version: int | None = None) -> DataFrame:
         """The bronze table: final rows of committed segments plus the open snapshot."""
@@ -151,10 +182,9 @@ class MedallionStore:
     def ingest_lines(self, raw: DataFrame, now: dt.datetime | str | None = None) -> int:
         """Append raw lines (``value``) to bronze as ``new`` rows, in one commit."""
         v = self.version()
-        rows = to_bronze(raw, self.source, now)
-        nxt = self.open_rows(v).unionByName(rows)
-        self._write_open(nxt, v + 1)
-        self._commit(v + 1, "ingest")
+        new_upto, q_upto = self._watermarks(v)
+        self._write_open(to_bronze(raw, self.source, now), v + 1)
+        self._commit(v + 1, "ingest", new_upto, q_upto)
         return v + 1
 
     def _fresh_files(self, lines: DataFrame, v: int) -> DataFrame:
@@ -192,8 +222,8 @@ class MedallionStore:
         parse, route and load every ``new`` bronze row, in one commit."""
         v = self.version()
         n = v + 1
-        open_v = self.open_rows(v)
-        candidates = open_v.where(F.col("status") == STATUS_NEW)
+        _, q_upto = self._watermarks(v)
+        candidates = self.open_rows(v).where(F.col("status") == STATUS_NEW)
         if raw_path is not None:
             lines = self._fresh_lines(raw_path, v)
             fresh = to_bronze(lines, self.source, now, keep=("source_file",))
@@ -202,9 +232,8 @@ class MedallionStore:
             candidates = candidates.unionByName(to_bronze(raw.select("value"), self.source, now))
         if "source_file" not in candidates.columns:
             candidates = candidates.withColumn("source_file", F.lit(None).cast("string"))
-        carry = open_v.where(F.col("status") != STATUS_NEW)
-        self._process(candidates, carry, n, repairing=False)
-        self._commit(n, "batch")
+        self._process(candidates, n, repairing=False)
+        self._commit(n, "batch", n - 1, q_upto)     # every earlier 'new' segment is consumed
         return n
 
     def fold_arrivals(self, arrivals_path: str) -> int:
@@ -218,8 +247,9 @@ class MedallionStore:
          .parquet(f"{self.paths.ingested_files}/commit={n}"))
         from pyspark.sql.types import StructType
         names = StructType.fromDDL(BRONZE_DDL).fieldNames()
-        self._write_open(self.open_rows(v).unionByName(fresh.select(*names)), n)
-        self._commit(n, "arrivals")
+        new_upto, q_upto = self._watermarks(v)
+        self._write_open(fresh.select(*names), n)
+        self._commit(n, "arrivals", new_upto, q_upto)
         return n
 
     def run_repair(self) -> int:
@@ -227,19 +257,19 @@ class MedallionStore:
         those that now pass; the rest stay quarantined. One commit."""
         v = self.version()
         n = v + 1
-        open_v = self.open_rows(v)
-        candidates = (open_v.where(F.col("status") == STATUS_QUARANTINED)
+        new_upto, _ = self._watermarks(v)
+        candidates = (self.open_rows(v).where(F.col("status") == STATUS_QUARANTINED)
                       .withColumn("source_file", F.lit(None).cast("string")))
-        carry = open_v.where(F.col("status") != STATUS_QUARANTINED)
-        self._process(candidates, carry, n, repairing=True)
-        self._commit(n, "repair")
+        self._process(candidates, n, repairing=True)
+        self._commit(n, "repair", new_upto, n - 1)  # every earlier 'quarantined' segment is consumed
         return n
 
     def _write_open(self, rows: DataFrame, n: int) -> None:
+        """Rows entering an open status at commit ``n`` (a retry overwrites the segment)."""
         (rows.write.mode("overwrite").partitionBy("status", "p_ingestdate")
-         .parquet(f"{self.paths.bronze_open}/v={n}"))
+         .parquet(f"{self.paths.bronze_open}/commit={n}"))
 
-    def _process(self, candidates: DataFrame, carry: DataFrame, n: int, repairing: bool) -> None:
+    def _process(self, candidates: DataFrame, n: int, repairing: bool) -> None:
         c = self.contract
         seg = f"commit={n}"
         parsed = parse_records(candidates, c)
@@ -294,8 +324,7 @@ class MedallionStore:
 
         (status_from_route(clean).write.mode("overwrite").partitionBy("p_ingestdate")
          .parquet(f"{self.paths.bronze_closed}/{seg}"))
-        still_open = status_from_route(st.where(F.col("route") != CLEAN))
-        self._write_open(carry.unionByName(still_open), n)
+        self._write_open(status_from_route(st.where(F.col("route") != CLEAN)), n)
 
 
 def _drop_field(ddl: str, name: str) -> str:

@@ -58,9 +58,8 @@ def test_uncommitted_segments_are_invisible_and_retry_is_clean(spark):
     raw = Rg.raw_feed_path(spark, SMALL_SF)
     store = _store(spark)
     # a batch that dies after writing its segments but before its commit
-    open_v = store.open_rows(0)
     cand = Rg.B.to_bronze(Rg.S.read_text_lines(spark, raw))
-    store._process(cand, open_v, 1, repairing=False)
+    store._process(cand, 1, repairing=False)
     assert store.version() == 0
     assert store.table("silver").count() == 0 and store.bronze().count() == 0
     store.run_batch(raw_path=raw)           # the retry rewrites commit 1
@@ -68,6 +67,25 @@ def test_uncommitted_segments_are_invisible_and_retry_is_clean(spark):
     assert store.bronze().count() == 1650
 
 
+def test_open_rows_are_never_rewritten(spark):
+    ls = Rg.lines(spark, SMALL_SF)
+    store = _store(spark, "append-only")
+    store.run_batch(raw=Rg._first_batch(ls))
+    quarantined_first = store.open_rows().count()
+    store.run_batch(raw=Rg._second_batch(ls))
+    segs = store.spark.read.parquet(store.paths.bronze_open)
+    # the second batch wrote only its own quarantined rows; the first batch's stay in commit 1
+    assert segs.where("commit = 1").count() == quarantined_first
+    assert store.open_rows().count() == segs.count()
+    store.run_repair()
+    live = store.open_rows()
+    assert live.where("status = 'new'").count() == 0
+    written_by_repair = store.spark.read.parquet(store.paths.bronze_open).where("commit = 3")
+    assert live.count() == written_by_repair.count() > 0
+    ids = live.select(F.get_json_object("value", "$.Id").alias("Id"))
+    assert ids.where(~F.col("Id").startswith("bad-")).count() == 0
+
+
 def test_genre_dimension_grows_without_repeats(spark):
     ls = Rg.lines(spark, SMALL_SF)
     store = _store(spark)
