@@ -30,6 +30,7 @@ import datetime as dt
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..contract import ORDER_CONTRACT, Contract, TablePaths
 from ..functions.ingest import DEFAULT_SOURCE, STATUS_NEW, STATUS_QUARANTINED
@@ -117,8 +118,7 @@ class MedallionStore:
             df = self.spark.read.schema(f"{ddl}, commit INT").parquet(path)
         except AnalysisException:
             return self._empty(ddl)
-        from pyspark.sql.types import StructType
-        names = StructType.fromDDL(ddl).fieldNames()
+        names = _names(ddl)
         return df.where(F.col("commit") <= v).select(*names)
 
     def open_rows(self, version: int | None = None) -> DataFrame:
@@ -130,8 +130,7 @@ class MedallionStore:
         if v == 0:
             return self._empty(BRONZE_DDL)
         new_upto, q_upto = self._watermarks(v)
-        from pyspark.sql.types import StructType
-        names = StructType.fromDDL(BRONZE_DDL).fieldNames()
+        names = _names(BRONZE_DDL)
         try:
             df = self.spark.read.schema(f"{BRONZE_DDL}, commit INT").parquet(self.paths.bronze_open)
         except AnalysisException:
@@ -245,8 +244,7 @@ class MedallionStore:
         fresh = self._fresh_files(arr, v)
         (fresh.select("source_file").distinct().write.mode("overwrite")
          .parquet(f"{self.paths.ingested_files}/commit={n}"))
-        from pyspark.sql.types import StructType
-        names = StructType.fromDDL(BRONZE_DDL).fieldNames()
+        names = _names(BRONZE_DDL)
         new_upto, q_upto = self._watermarks(v)
         self._write_open(fresh.select(*names), n)
         self._commit(n, "arrivals", new_upto, q_upto)
@@ -327,7 +325,10 @@ class MedallionStore:
         self._write_open(status_from_route(st.where(F.col("route") != CLEAN)), n)
 
 
+def _names(ddl: str) -> list[str]:
+    return StructType.fromDDL(ddl).fieldNames()
+
+
 def _drop_field(ddl: str, name: str) -> str:
-    from pyspark.sql.types import StructType
     s = StructType.fromDDL(ddl)
     return ", ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in s.fields if f.name != name)
