@@ -231,7 +231,7 @@ class MedallionStore:
             candidates = candidates.unionByName(to_bronze(raw.select("value"), self.source, now))
         if "source_file" not in candidates.columns:
             candidates = candidates.withColumn("source_file", F.lit(None).cast("string"))
-        self._process(candidates, n, repairing=False)
+        self._process(candidates, n, repairing=False, took_files=raw_path is not None)
         self._commit(n, "batch", n - 1, q_upto)     # every earlier 'new' segment is consumed
         return n
 
@@ -267,7 +267,7 @@ class MedallionStore:
         (rows.write.mode("overwrite").partitionBy("status", "p_ingestdate")
          .parquet(f"{self.paths.bronze_open}/commit={n}"))
 
-    def _process(self, candidates: DataFrame, n: int, repairing: bool) -> None:
+    def _process(self, candidates: DataFrame, n: int, repairing: bool, took_files: bool = False) -> None:
         c = self.contract
         seg = f"commit={n}"
         parsed = parse_records(candidates, c)
@@ -277,7 +277,7 @@ class MedallionStore:
         stage_path = f"{self.paths.staging}/{seg}"
         routed.write.mode("overwrite").parquet(stage_path)
         st = self.spark.read.schema(routed.schema).parquet(stage_path)
-        if "source_file" in st.columns:      # files taken by this batch, for later runs to skip
+        if took_files:                       # files taken by this batch, for later runs to skip
             (st.where(F.col("source_file").isNotNull()).select("source_file").distinct()
              .write.mode("overwrite").parquet(f"{self.paths.ingested_files}/{seg}"))
         clean = st.where(F.col("route") == CLEAN)
