@@ -177,6 +177,21 @@ class MedallionStore:
         path, ddl = specs[name]
         return self._segments(path, ddl, version)
 
+    def metrics(self, version: int | None = None) -> DataFrame:
+        """Per commit: routed lines, distinct records, clean and quarantined lines,
+        and lines per reason, in one aggregation pass over the staged history."""
+        st = self.table("staging", version)
+        if "route" not in st.columns:
+            return self._empty("commit INT, n_lines BIGINT, n_records BIGINT, n_clean BIGINT, "
+                               "n_quarantined BIGINT")
+        reasons = [r.name for r in self.contract.rules] + ["malformed", "missing_key", "bad_key", "bad_date"]
+        return (st.groupBy("commit")
+                .agg(F.count(F.lit(1)).alias("n_lines"),
+                     F.count_distinct("record_key").alias("n_records"),
+                     F.count_if(F.col("route") == CLEAN).alias("n_clean"),
+                     F.count_if(F.col("route") == "quarantined").alias("n_quarantined"),
+                     *[F.count_if(F.array_contains("reasons", r)).alias(f"n_{r}") for r in reasons]))
+
     # ------------------------------------------------------------------ writers
     def ingest_lines(self, raw: DataFrame, now: dt.datetime | str | None = None) -> int:
         """Append raw lines (``value``) to bronze as ``new`` rows, in one commit."""

@@ -31,6 +31,10 @@ def test_batch_then_repair(spark):
     store.run_repair()
     silver = store.table("silver")
     assert silver.count() == 1085 + 400
+    m = {r.commit: r for r in store.metrics().collect()}
+    assert (m[1].n_lines, m[1].n_records) == (1650, 1500)
+    assert m[2].n_records == 1500 - 1085                           # the repair re-routed every quarantined record
+    assert m[2].n_quarantined == m[2].n_bad_key > 0                # only bad ids stay (lines, duplicates included)
     staged = store.table("staging")            # routing history of both runs
     assert staged.where("commit = 1").count() == 1650
     loaded_first = staged.where("commit = 1 AND route = 'clean'").count()
