@@ -163,3 +163,14 @@ def test_read_status_since_filters_ingest_date(spark):
     both = old.unionByName(new)
     assert B.read_new(both).count() == 2
     assert B.read_new(both, since="2024-02-01").count() == 1
+
+
+def test_repair_by_lookup_inner_and_left(spark):
+    from silverline.operators.lookup import repair_by_lookup
+    bad = spark.createDataFrame([(1, None), (2, None), (3, 7.0)], "movie_id BIGINT, Budget DOUBLE")
+    dim = spark.createDataFrame([(1, 100.0, "x"), (3, 300.0, "y")], "o_orderkey BIGINT, o_totalprice DOUBLE, other STRING")
+    inner = repair_by_lookup(bad, dim, on=("movie_id", "o_orderkey"), replace={"Budget": "o_totalprice"})
+    assert sorted(tuple(r) for r in inner.collect()) == [(1, 100.0), (3, 300.0)]
+    assert inner.columns == ["movie_id", "Budget"]
+    left = repair_by_lookup(bad, dim, on=("movie_id", "o_orderkey"), replace={"Budget": "o_totalprice"}, how="left")
+    assert sorted(tuple(r) for r in left.collect()) == [(1, 100.0), (2, None), (3, 300.0)]

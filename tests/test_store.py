@@ -136,3 +136,17 @@ def test_history_dedupe_skips_lines_loaded_before(spark):
     plain.run_batch(raw=ls)
     plain.run_batch(raw=ls)
     assert plain.table("silver").count() == 2 * 1085
+
+
+def test_unrouted_policy_keeps_null_results_new(spark):
+    vals = ['{"Id":"1","Title":"a","Budget":200000,"RunTime":5}',
+            '{"Id":"2","Title":"b","RunTime":5}',                   # no budget: rule result is NULL
+            '{"Id":"3","Title":"c","Budget":5,"RunTime":5}']
+    raw = spark.createDataFrame([(v,) for v in vals], "value STRING")
+    store = MedallionStore(spark, scratch_path(spark, "unrouted"), ORDER_CONTRACT, null_policy="unrouted")
+    store.run_batch(raw=raw)
+    got = {r.Id: r.status for r in store.bronze().select(F.get_json_object("value", "$.Id").alias("Id"), "status").collect()}
+    assert got == {"1": "loaded", "2": "new", "3": "quarantined"}
+    store.run_batch()                                  # the unrouted row is tried again, not lost
+    assert {r.status for r in store.bronze().collect()} == {"loaded", "new", "quarantined"}
+    assert store.bronze().count() == 3
