@@ -131,10 +131,18 @@ class MedallionStore:
             return self._empty(BRONZE_DDL)
         new_upto, q_upto = self._watermarks(v)
         names = _names(BRONZE_DDL)
+        # Only commits above the lower watermark can hold live rows; naming their
+        # folders keeps consumed segments out of the file listing altogether.
+        root = self.paths.bronze_open
+        first = min(new_upto, q_upto) + 1
+        reader = self.spark.read.schema(f"{BRONZE_DDL}, commit INT")
         try:
-            df = self.spark.read.schema(f"{BRONZE_DDL}, commit INT").parquet(self.paths.bronze_open)
+            df = reader.option("basePath", root).parquet(*[f"{root}/commit={i}" for i in range(first, v + 1)])
         except AnalysisException:
-            return self._empty(BRONZE_DDL)
+            try:
+                df = reader.parquet(root)
+            except AnalysisException:
+                return self._empty(BRONZE_DDL)
         live = (((F.col("status") == STATUS_NEW) & (F.col("commit") > new_upto))
                 | ((F.col("status") == STATUS_QUARANTINED) & (F.col("commit") > q_upto)))
         return df.where((F.col("commit") <= v) & live).select(*names)
