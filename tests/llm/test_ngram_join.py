@@ -1,0 +1,120 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from silverline.llm import ngram_join as J
+from silverline.llm.components import components, contract
+from silverline.llm.wordhash import WordHasher
+from tests.llm.helpers import SF, docs_of, gram_set, least_of_group
+
+
+def near_copies(seed, groups, copies, length, vocabulary=400):
+    """Texts of several groups whose members differ in a few words each."""
+    rng = random.Random(seed)
+    rows = []
+    for g in range(groups):
+        base = [f"w{rng.randrange(vocabulary)}" for _ in range(rng.randint(1, length))]
+        for _ in range(copies):
+            text = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 25))):
+                text[rng.randrange(len(text))] = rng.choice(["W1", "new", f"w{rng.randrange(vocabulary)}"])
+            rows.append((len(rows), rng.choice([" ", "\n", " \t"]).join(text)))
+    return rows
+
+
+def check(spark, rows, n, num, den):
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.join_documents(docs_of(spark, rows), n, num, den).collect()}
+    sets = {i: gram_set(t, n) for i, t in rows}
+    least = least_of_group(sets, num, den)
+    assert got == {i: (len(sets[i]), least[i]) for i in sets}
+    return got
+
+
+@pytest.mark.parametrize("n,num,den", [(3, 90, 100), (5, 80, 100), (1, 50, 100)])
+def test_against_brute_force(spark, n, num, den):
+    got = check(spark, near_copies(n, 25, 9, 120), n, num, den)
+    assert len({c for _, c in got.values()}) < len(got)
+
+
+def test_families_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK_GRAMS", 800)
+    monkeypatch.setattr(J, "BUNDLE_GRAMS", 500)
+    monkeypatch.setattr(J, "FLUSH_PAIRS", 300)
+    check(spark, near_copies(11, 3, 40, 150), 3, 90, 100)
+
+
+def test_long_texts(spark):
+    rng = random.Random(2)
+    base = [f"v{rng.randrange(5000)}" for _ in range(4000)]
+    rows = []
+    for i, edits in enumerate((0, 30, 60, 120, 125, 130, 200)):
+        text = list(base)
+        for k in range(edits):
+            text[k * 20] = f"e{i}"
+        rows.append((i, " ".join(text)))
+    check(spark, rows, 3, 90, 100)
+
+
+def test_documents(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    check(spark, rows, 3, 90, 100)
+
+
+def test_edges(spark):
+    rows = [(1, None), (2, ""), (3, " \n\t"), (4, "a"), (5, "A"), (6, "a b"), (7, "b a"), (8, "a b c d"), (9, "A  B\nC d"), (10, "é b c d"),
+            (11, "É b c d"), (12, "same " * 5000), (13, "same same same")]
+    check(spark, rows, 3, 90, 100)
+    odd = docs_of(spark, [(None, "one two three four"), (5, "one two three four"), (5, "one two three four"), (None, "alone here today"), (7, "x y z")]) \
+        .withColumn("class", F.lit(1)).withColumn("size", F.lit(1)).withColumn("block", F.lit(1))
+    got = sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in J.join_documents(odd).collect())
+    assert got == sorted([("None", 2, "5"), ("5", 2, "5"), ("5", 2, "5"), ("None", 1, "None"), ("7", 1, "7")])
+    assert J.join_documents(odd.limit(0)).count() == 0
+    kept = J.one_of_each(odd, 3, 90, 100)
+    assert kept.columns == odd.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["5", "7", "None", "None"]
+
+
+def test_one_of_each(spark):
+    rows = near_copies(4, 12, 6, 90)
+    least = least_of_group({i: gram_set(t, 5) for i, t in rows}, 80, 100)
+    kept = J.one_of_each(docs_of(spark, rows))
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(least.values()))
+
+
+def test_trie_links_against_all_pairs():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 60).astype(np.uint64)
+    sets = [np.unique(np.where(rng.random(60) < 0.06, rng.integers(0, 2**63, 60).astype(np.uint64), base)[: rng.integers(1, 61)]) for _ in range(80)]
+    sets += [sets[0], sets[3][:1], np.array([5], np.uint64)]
+    got = {(i, int(j)) for i, linked in J.trie_links(sets, sets, 80, 100) for j in linked}
+    want = set()
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            both = len(np.intersect1d(a, b))
+            if both and 100 * both >= 80 * (len(a) + len(b) - both):
+                want.add((i, j))
+    assert got == want | {(i, i) for i in range(len(sets)) if (i, i) in got}
+
+
+def test_hashes_do_not_depend_on_the_neighbours():
+    texts = [b"one two three", b"", b"x", b"one Two THREE four", "ä ö".encode()] * 3
+    alone = [J.gram_sets([t], 3, WordHasher())[0].tolist() for t in texts]
+    assert [g.tolist() for g in J.gram_sets(texts, 3, WordHasher())] == alone
+
+
+def test_components(spark):
+    rng = np.random.default_rng(1)
+    path = [(i, i + 1) for i in range(100, 300)]
+    star = [(1000, i) for i in range(1001, 1100)]
+    loose = [tuple(map(int, rng.integers(-50, 50, 2))) for _ in range(60)]
+    edges = path + star + loose + [(7000, 7000), (-(2**63), 2**63 - 1)]
+    rng.shuffle(edges)
+    a, b = contract(*np.array(edges, np.int64).T)
+    want = dict(zip(a.tolist(), b.tolist(), strict=True))
+    df = spark.createDataFrame([(int(x), int(y)) for x, y in edges], "a long, b long").repartition(6)
+    assert {r["node"]: r["root"] for r in components(df).collect()} == want
+    assert want[300] == 100 and want[2**63 - 1] == -(2**63) and 7000 not in want
+    assert components(df.limit(0)).count() == 0
