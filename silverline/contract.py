@@ -123,11 +123,7 @@ class TablePaths:
     @property
     def raw(self) -> str: return f"{self.root}/raw"
     @property
-    def bronze_open(self) -> str: return f"{self.root}/bronze/open"
-    @property
-    def bronze_closed(self) -> str: return f"{self.root}/bronze/closed"
-    @property
-    def staging(self) -> str: return f"{self.root}/staging"
+    def bronze(self) -> str: return f"{self.root}/bronze"
     @property
     def silver(self) -> str: return f"{self.root}/silver/wide"
     @property

@@ -4,8 +4,10 @@ An order stands for a movie (see FIXTURES.md): ``Id`` is the order key as text
 (``bad-<key>`` when ``key % 101 = 0``), ``Budget`` the order total (missing when
 ``key % 97 = 0``), ``RunTime`` the customer's balance floored, ``genres`` the
 distinct parts of the order's line items sorted by id. Records with
-``key % 10 = 0`` are emitted twice. These modulo rules *add* dirt to every
-record of the whole tables; nothing is left out.
+``key % 10 = 0`` are emitted twice; ``ReleaseDate`` is missing when
+``key % 109 = 0``. In the JSON lines a second object follows the record when
+``key % 103 = 0``, and the ids in ``genres`` are quoted when ``key % 107 = 0``.
+These modulo rules *add* dirt to the whole tables; nothing is left out.
 
 Everything is a Spark job over the full tables: one shuffle for
 orders ⨝ customer, one for lineitem ⨝ part and one to collect each order's
@@ -61,7 +63,7 @@ def feed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.when(k % 97 == 0, F.lit(None).cast("double")).otherwise(F.col("o_totalprice")).alias("Budget"),
                 F.floor("c_acctbal").cast("bigint").alias("RunTime"),
                 F.col("o_orderpriority").alias("OriginalLanguage"),
-                F.col("o_orderdate").cast("date").cast("string").alias("ReleaseDate"),
+                F.when(k % 109 != 0, F.col("o_orderdate").cast("date").cast("string")).alias("ReleaseDate"),
                 F.coalesce(F.col("genres"), F.array().cast(GENRE_DDL)).alias("genres")))
     copies = F.when(F.col("k") % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return base.withColumn("copy", F.explode(copies))
@@ -70,7 +72,9 @@ def feed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feed_lines(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
     """The raw JSON lines (``value``), one per emitted record; ``k`` kept on request."""
     rec = feed_records(spark, sf_dir)
-    value = F.to_json(F.struct(*RECORD_FIELDS)).alias("value")
+    text = F.to_json(F.struct(*RECORD_FIELDS))
+    text = F.when(F.col("k") % 107 == 0, F.regexp_replace(text, r'"id":(\d+)', '"id":"$1"')).otherwise(text)
+    value = F.when(F.col("k") % 103 == 0, F.concat(text, F.lit('{"Id":"second"}'))).otherwise(text).alias("value")
     return rec.select("k", value) if with_key else rec.select(value)
 
 
@@ -106,13 +110,14 @@ FEED_BASE_SQL = """
          CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_totalprice END AS Budget,
          CAST(floor(c_acctbal) AS BIGINT)                              AS RunTime,
          o_orderpriority                                               AS OriginalLanguage,
-         CAST(CAST(o_orderdate AS DATE) AS STRING)                     AS ReleaseDate
+         CASE WHEN o_orderkey % 109 <> 0
+              THEN CAST(CAST(o_orderdate AS DATE) AS STRING) END       AS ReleaseDate
   FROM orders JOIN customer ON o_custkey = c_custkey"""
 
 
 def feed_ctes(budget_floor: int = 100_000) -> str:
     """``WITH`` clause naming ``order_parts``, ``base``, ``feed`` (with duplicates),
-    ``typed`` (typed fields of every emitted record), ``routed`` and ``genre_count``."""
+    ``typed`` (typed fields and dirt of every emitted line), ``routed`` and ``genre_count``."""
     return f"""WITH order_parts AS ({ORDER_PARTS_SQL}),
 base AS ({FEED_BASE_SQL}),
 feed AS (SELECT * FROM base UNION ALL SELECT * FROM base WHERE k % 10 = 0),
@@ -120,11 +125,13 @@ genre_count AS (SELECT k, count(*) AS n_genres FROM order_parts GROUP BY k),
 typed AS (
   SELECT f.k, f.Id, TRY_CAST(f.Id AS BIGINT) AS movie_id, f.Title, f.Budget, f.RunTime,
          f.OriginalLanguage, TRY_CAST(f.ReleaseDate AS DATE) AS ReleaseDate,
-         coalesce(g.n_genres, 0) AS n_genres
+         coalesce(g.n_genres, 0) AS n_genres, f.k % 103 = 0 AS has_more,
+         f.k % 107 = 0 AND coalesce(g.n_genres, 0) > 0 AS bad_nested
   FROM feed f LEFT JOIN genre_count g ON f.k = g.k),
 routed AS (
   SELECT *,
-         CASE WHEN movie_id IS NOT NULL AND RunTime >= 0 AND Budget >= {budget_floor}
+         CASE WHEN movie_id IS NOT NULL AND NOT has_more AND NOT bad_nested
+                   AND RunTime >= 0 AND Budget >= {budget_floor}
               THEN 'clean' ELSE 'quarantined' END AS route
   FROM typed)
 """

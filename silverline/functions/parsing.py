@@ -16,9 +16,11 @@ PARSED = "_parsed"
 
 # Fixed names of the record-level quarantine reasons, in the order they are listed.
 MALFORMED = "malformed"
+TRAILING_DATA = "trailing_data"
 MISSING_KEY = "missing_key"
 BAD_KEY = "bad_key"
 BAD_DATE = "bad_date"
+BAD_NESTED = "bad_nested"
 
 
 def parse_json(value: Column | str, ddl: str, keep_corrupt: bool = True) -> Column:
@@ -67,16 +69,34 @@ def typed_columns(contract: Contract) -> list[Column]:
     return out
 
 
-def record_checks(contract: Contract, parsed: str = PARSED) -> list[tuple[str, Column]]:
+def more_than_one_value(value: Column | str) -> Column:
+    """True when a line does not hold exactly one JSON value: ``from_json`` reads the
+    first one and would silently leave out what follows it. The line is wrapped in
+    an array and in an object, so that no closing bracket of its own ends both."""
+    value = F.col(value) if isinstance(value, str) else value
+    one = (F.json_array_length(F.concat(F.lit("["), value, F.lit("]"))) == 1) \
+        & (F.size(F.json_object_keys(F.concat(F.lit('{"v":'), value, F.lit("}")))) == 1)
+    return ~F.coalesce(one, F.lit(False))
+
+
+def bad_nested(text: Column, ddl: str) -> Column:
+    """True when nested text is there but is not an array of objects with ids."""
+    parsed = parse_nested(text, ddl)
+    return text.isNotNull() & F.coalesce(F.exists(parsed, lambda g: g.isNull() | g["id"].isNull()), F.lit(True))
+
+
+def record_checks(contract: Contract, value: Column | str = "value", parsed: str = PARSED) -> list[tuple[str, Column]]:
     """(reason, failing condition) for the record-level checks.
 
-    Conditions are over the parsed struct ``parsed`` so they can be evaluated
-    in the same projection that types the record.
+    Conditions are over the line and its parsed struct ``parsed`` so they can be
+    evaluated in the same projection that types the record.
     """
     s = F.col(parsed)
     key = s[contract.key_field]
+    malformed = s.isNull() | s[CORRUPT].isNotNull()
     checks = [
-        (MALFORMED, s.isNull() | s[CORRUPT].isNotNull()),
+        (MALFORMED, malformed),
+        (TRAILING_DATA, ~malformed & more_than_one_value(value)),
         (MISSING_KEY, s.isNotNull() & key.isNull()),
         (BAD_KEY, key.isNotNull() & to_int_safe(key, contract.key_type).isNull()),
     ]
@@ -85,6 +105,7 @@ def record_checks(contract: Contract, parsed: str = PARSED) -> list[tuple[str, C
         for d in contract.date_fields:
             bad_date = bad_date | (s[d].isNotNull() & to_date_safe(s[d]).isNull())
         checks.append((BAD_DATE, bad_date))
+    checks.append((BAD_NESTED, bad_nested(s[contract.nested_field], contract.nested_ddl)))
     return checks
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.ingest import (DEFAULT_SOURCE, STATUS_LOADED, STATUS_NEW, STATUS_QUARANTINED,
                                 ingest_time, record_key)
 
-# Bronze column contract (one for every path that writes bronze), then the key.
+# The bronze column contract (one for every path that writes bronze), then the key.
 BRONZE_COLUMNS = ["datasource", "ingesttime", "value", "status", "p_ingestdate"]
 BRONZE_DDL = ("datasource STRING, ingesttime TIMESTAMP, value STRING, status STRING, "
               "p_ingestdate DATE, record_key STRING")
@@ -55,6 +55,10 @@ def _with_key(df: DataFrame, on: str) -> DataFrame:
     return df
 
 
+# Statuses as numbers, so that the merge below aggregates with a hash table.
+STATUSES = (STATUS_NEW, STATUS_QUARANTINED, STATUS_LOADED)
+
+
 def apply_status(bronze: DataFrame, updates: DataFrame, status: str | None = None,
                  on: str = "record_key") -> DataFrame:
     """Matched-row update: bronze rows whose key equals an update's get its status.
@@ -63,32 +67,33 @@ def apply_status(bronze: DataFrame, updates: DataFrame, status: str | None = Non
     never match and every duplicate of a matched key is updated. ``updates``
     needs ``value`` (or the key) and, unless ``status`` is given, a ``status``
     column. It is reduced to one row per key before the join (map-side
-    partial aggregation); two different statuses for one key fail the job.
+    partial aggregation); two different statuses for one key, or one that is
+    not a bronze status, fail the job.
     """
-    updates = _with_key(updates, on)
+    updates = _with_key(updates, on).where(F.col(on).isNotNull())
     bronze = _with_key(bronze, on)
-    new = F.lit(status) if status is not None else F.col("status")
-    per_key = (updates.where(F.col(on).isNotNull())
-               .select(F.col(on), new.alias("_status"))
-               .groupBy(on)
-               .agg(F.min("_status").alias("_lo"), F.max("_status").alias("_hi"))
-               .select(on, F.when(F.col("_lo") == F.col("_hi"), F.col("_lo"))
-                       .otherwise(F.raise_error(F.concat(F.lit("conflicting statuses for key "), F.col(on))))
-                       .alias("_new_status")))
+    if status is not None:
+        per_key = updates.select(on).distinct().withColumn("_new_status", F.lit(status))
+    else:
+        names = F.array(*[F.lit(s) for s in STATUSES])
+        code = F.array_position(names, F.col("status")).cast("int")
+        per_key = (updates.select(on, F.coalesce(code, F.lit(0)).alias("_code")).groupBy(on)
+                   .agg(F.min("_code").alias("_lo"), F.max("_code").alias("_hi"))
+                   .select(on, F.when((F.col("_lo") == F.col("_hi")) & (F.col("_lo") > 0), F.try_element_at(names, F.col("_lo")))
+                           .otherwise(F.raise_error(F.concat(F.lit("conflicting statuses for key "), F.col(on))))
+                           .alias("_new_status")))
     joined = bronze.join(per_key, on=on, how="left")
     return joined.select(*[F.coalesce(F.col("_new_status"), F.col("status")).alias("status")
                            if c == "status" else F.col(c) for c in bronze.columns])
 
 
-def status_from_route(routed: DataFrame) -> DataFrame:
-    """Bronze rows of a routed frame with the status their own route implies.
+def status_of(routed: DataFrame) -> DataFrame:
+    """A routed frame with the status each row's own route implies: no join needed."""
+    return routed.withColumn("status", F.when(F.col("route") == "clean", F.lit(STATUS_LOADED))
+                             .when(F.col("route") == "quarantined", F.lit(STATUS_QUARANTINED))
+                             .otherwise(F.col("status")))
 
-    This is the merge of both outcomes without a join: every bronze row
-    carries its route, so its new status is a per-row expression.
-    """
-    new_status = (F.when(F.col("route") == "clean", F.lit(STATUS_LOADED))
-                  .when(F.col("route") == "quarantined", F.lit(STATUS_QUARANTINED))
-                  .otherwise(F.col("status")))
-    cols = [new_status.alias("status") if c == "status" else F.col(c)
-            for c in BRONZE_COLUMNS + ["record_key"] if c in routed.columns]
-    return routed.select(*cols)
+
+def status_from_route(routed: DataFrame) -> DataFrame:
+    """Bronze rows of a routed frame with the status their own route implies."""
+    return status_of(routed).select(*[c for c in BRONZE_COLUMNS + ["record_key"] if c in routed.columns])

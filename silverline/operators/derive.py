@@ -24,20 +24,22 @@ def silver_movie(wide: DataFrame, contract: Contract) -> DataFrame:
 
 
 def exploded_genres(parsed: DataFrame, contract: Contract) -> DataFrame:
-    """One row per (record, nested element): key, ``genres_id``, ``name``.
+    """One row per (record, nested element): source id, typed key, ``genres_id``, ``name``.
 
     NULL or empty arrays give no row; elements with a NULL id or name are
-    dropped, as ``na.drop`` does on the source rows.
+    dropped, as ``na.drop`` does on the source rows. Records whose id does not
+    type keep their rows under ``source_id``, with a NULL key; a record without
+    any id gives none.
     """
     key = contract.key_column
-    g = (parsed.where(F.col(key).isNotNull())
-         .select(key, F.explode(parse_nested(contract.nested_field, contract.nested_ddl)).alias("g"))
-         .select(key, F.col("g.id").alias("genres_id"), F.col("g.name").alias("name")))
-    return g.na.drop(how="any")
+    g = (parsed.where(F.col("source_id").isNotNull())
+         .select("source_id", key, F.explode(parse_nested(contract.nested_field, contract.nested_ddl)).alias("g"))
+         .select("source_id", key, F.col("g.id").alias("genres_id"), F.col("g.name").alias("name")))
+    return g.na.drop(how="any", subset=["genres_id", "name"])
 
 
 def genre_rows(parsed: DataFrame, contract: Contract) -> DataFrame:
-    """Distinct (key, genres_id, name): the genre table without the whole source struct."""
+    """Distinct (source id, key, genres_id, name): the genre table without the whole source struct."""
     return exploded_genres(parsed, contract).dropDuplicates()
 
 
@@ -47,15 +49,14 @@ def genre_dimension(genres: DataFrame) -> DataFrame:
 
 
 def language_rows(parsed: DataFrame, contract: Contract) -> DataFrame:
-    """Distinct (key, Title, OriginalLanguage) of records with a key."""
-    key = contract.key_column
-    return (parsed.where(F.col(key).isNotNull())
-            .select(key, *contract.language_fields).dropDuplicates())
+    """Distinct (source id, key, Title, OriginalLanguage) of all records, with or without a typed key."""
+    return parsed.select("source_id", contract.key_column, *contract.language_fields).dropDuplicates()
 
 
 def bridge_rows(parsed: DataFrame, contract: Contract) -> DataFrame:
-    """Distinct (key, genres_id) pairs, read straight from the nested array: no join."""
-    return exploded_genres(parsed, contract).select(contract.key_column, "genres_id").dropDuplicates()
+    """Distinct (key, genres_id) pairs of records with a key, read straight from the nested array: no join."""
+    pairs = exploded_genres(parsed, contract).select(contract.key_column, "genres_id")
+    return pairs.where(F.col(contract.key_column).isNotNull()).dropDuplicates()
 
 
 def bridge_join(movies: DataFrame, genres: DataFrame, contract: Contract, dedupe: bool = False) -> DataFrame:

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..contract import Contract
+from ..functions.parsing import bad_nested, parse_json, to_date_safe, to_int_safe
+
 
 def count_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
@@ -76,6 +79,31 @@ def schema_differences(actual: StructType, expected_ddl: str, ignore_nullable: b
     return out
 
 
+def conformance(lines: DataFrame, contract: Contract, value: str = "value") -> DataFrame:
+    """For every column of the typed contract: lines, lines that have the field and
+    lines whose value fits its type, from one pass over the lines.
+
+    The key and the dates fit when they cast, nested text when it is an array of
+    objects with ids; any other field is typed by the parse, so it fits when it is there.
+    """
+    parsed = lines.select(parse_json(value, contract.source_ddl).alias("s"))
+    columns, sums = list(zip(contract.source_fields, StructType.fromDDL(contract.typed_ddl()).fields, strict=True)), []
+    for i, (name, typed) in enumerate(columns):
+        raw = F.col("s")[name]
+        fits = raw.isNotNull()
+        if name == contract.key_field:
+            fits = to_int_safe(raw, contract.key_type).isNotNull()
+        elif name in contract.date_fields:
+            fits = to_date_safe(raw).isNotNull()
+        elif name == contract.nested_field:
+            fits = raw.isNotNull() & ~bad_nested(raw, contract.nested_ddl)
+        sums += [F.count(raw).alias(f"present_{i}"), F.count_if(fits).alias(f"fits_{i}")]
+    totals = parsed.agg(F.count(F.lit(1)).alias("n_rows"), *sums)
+    rows = [F.struct(F.lit(t.name).alias("column"), F.lit(t.dataType.simpleString().upper()).alias("expected"), F.col("n_rows"),
+                     F.col(f"present_{i}").alias("n_present"), F.col(f"fits_{i}").alias("n_conform")) for i, (_, t) in enumerate(columns)]
+    return totals.select(F.inline(F.array(*rows)))
+
+
 def schema_diff(spark: SparkSession, df: DataFrame, expected_ddl: str, **kw) -> DataFrame:
     """The schema differences as a small DataFrame (schemas are metadata, not data)."""
     rows = schema_differences(df.schema, expected_ddl, **kw)

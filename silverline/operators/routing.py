@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contract import Contract
+from ..functions.ingest import STATUS_QUARANTINED
 from ..functions.parsing import (CORRUPT, PARSED, parse_json, reasons_column, record_checks,
                                  rule_failures, typed_columns)
 from ..functions.repair import apply_repairs
+from .bronze import status_of
 
 CLEAN = "clean"
 QUARANTINED = "quarantined"
@@ -18,20 +20,22 @@ UNROUTED = "new"
 def parse_records(df: DataFrame, contract: Contract, value: str = "value") -> DataFrame:
     """Star-expand ``from_json(value)`` and type it; every other input column is kept.
 
-    Output: the input columns, then the typed fields in source order, then
-    ``_checks`` (record-level reasons: malformed, missing/bad key, bad date).
+    Output: the input columns, ``source_id`` (the key as the source has it), the
+    typed fields in source order, then ``_checks`` (record-level reasons:
+    malformed, trailing data, missing/bad key, bad date, bad nested text).
     The JSON is parsed once: the parse sits in its own projection, which
     Catalyst does not inline into the several expressions that read it.
     """
     keep = [F.col(c) for c in df.columns]
     parsed = df.select(*keep, parse_json(value, contract.source_ddl).alias(PARSED))
     fields = [F.col(f"{PARSED}.{name}").alias(name) for name in contract.source_fields]
-    flat = parsed.select(*keep, *fields, reasons_column(record_checks(contract)).alias("_checks"))
-    return flat.select(*keep, *typed_columns(contract), "_checks")
+    flat = parsed.select(*keep, *fields, reasons_column(record_checks(contract, value)).alias("_checks"))
+    return flat.select(*keep, F.col(contract.key_field).alias("source_id"), *typed_columns(contract), "_checks")
 
 
 def route(parsed: DataFrame, contract: Contract, null_policy: str = "quarantine") -> DataFrame:
-    """Add ``reasons`` (array of failed checks and rules) and ``route``.
+    """Add ``reasons`` (array of failed checks and rules), ``route`` and ``fixable``
+    (1 if no record-level check failed, so that a repair may help).
 
     ``null_policy="quarantine"``: a rule that is NULL fails, so the two routes
     are total and disjoint. ``"unrouted"`` leaves records whose only problem
@@ -51,7 +55,8 @@ def route(parsed: DataFrame, contract: Contract, null_policy: str = "quarantine"
              .otherwise(F.lit(UNROUTED)))
     else:
         raise ValueError(f"unknown null_policy {null_policy!r}")
-    return out.withColumn("route", r).drop("_checks")
+    # Repairs change typed columns, so only failed rules can come right.
+    return out.withColumn("route", r).withColumn("fixable", (F.size("_checks") == 0).cast("int")).drop("_checks")
 
 
 def parse_and_route(df: DataFrame, contract: Contract, null_policy: str = "quarantine") -> DataFrame:
@@ -63,6 +68,14 @@ def repair(parsed: DataFrame, contract: Contract) -> DataFrame:
     return parsed.withColumns(apply_repairs(contract.repairs))
 
 
+def with_status(routed: DataFrame, final: bool) -> DataFrame:
+    """Routed bronze rows with the status their route implies; after a repair
+    (``final``) a row that still fails is not fixable any more."""
+    rows = status_of(routed)
+    kept = (F.col("status") != STATUS_QUARANTINED) | (F.col("fixable") == 1)
+    return rows.withColumn("fixable", (kept & ~(F.lit(final) & (F.col("status") == STATUS_QUARANTINED))).cast("int"))
+
+
 def split(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(clean, quarantined) views of one routed frame."""
     return (routed.where(F.col("route") == CLEAN), routed.where(F.col("route") == QUARANTINED))
@@ -86,4 +99,4 @@ def drop_columns(df: DataFrame, exclude: list[str] | tuple[str, ...]) -> DataFra
 
 
 __all__ = ["CLEAN", "QUARANTINED", "UNROUTED", "CORRUPT", "parse_records", "route",
-           "parse_and_route", "repair", "split", "dedupe_records", "drop_null_rows", "drop_columns"]
+           "parse_and_route", "repair", "with_status", "split", "dedupe_records", "drop_null_rows", "drop_columns"]

@@ -2,54 +2,69 @@
 
 Layout below ``root`` (see :class:`~silverline.contract.TablePaths`):
 
-* ``bronze/closed/commit=N/p_ingestdate=D`` – rows whose status is final
-  (``loaded``); append-only, never rewritten.
-* ``bronze/open/commit=N/status=S/p_ingestdate=D`` – rows that entered an
-  open status (``new``, ``quarantined``) at commit N; append-only as well. A
-  batch consumes every live ``new`` segment and a repair every live
-  ``quarantined`` segment; each commit records the two watermarks below which
-  segments of a status are consumed, so nothing is ever rewritten: a status
-  change is a new row in a new segment, and a batch writes only its own rows.
-* ``silver/*/commit=N/...`` – every silver table is a set of segments, one
-  per commit.
-* ``staging/commit=N`` – the routed batch, written once: the JSON is parsed
-  a single time and every later step reads typed Parquet (this also cuts the
-  lineage, so a lost executor costs one stage, not the whole batch).
-* ``_commits`` – one row per finished commit. Readers see segments with
-  ``commit <= last commit`` (a partition filter), so a batch that died half
-  way is invisible, and its retry overwrites exactly its own segments.
-
-There is no merge-join anywhere in a batch: the new status of each bronze
-row is computed from that row's own route.
+* Every table is a set of segments ``<table>/attempt=A/...``. An attempt is one
+  run of one writer and has its own random id, so no run ever writes where
+  another one has written.
+* ``_commits/version=N`` holds one row for each finished run: its attempt, the
+  tables it wrote and how far open rows are consumed. Readers take the segments
+  of the attempts that the log names up to their version, and nothing else:
+  what a run left behind when it died stays invisible for ever.
+* ``bronze`` segments are the routed lines, partitioned by status, by whether a
+  repair can still change them and by ingest date. They are the staging of a
+  batch as well: the JSON is parsed once, written once, and every later step
+  reads typed Parquet, so a lost executor costs one stage and raw text is
+  stored once. A row's status never changes in place: a batch consumes the
+  ``new`` rows, a repair the repairable ``quarantined`` ones of earlier
+  versions (two watermarks in the log), and both write the rows anew.
+* Rows that no repair can change (a bad key, unreadable JSON) are left where
+  they are by all later runs.
+* ``_ingested_files`` logs the raw files taken, by path, time and size.
+
+A writer starts from the log as it is and its commit refuses to follow any
+other version, so objects that take turns never lose each other's work. Writers
+that commit at the very same moment are detected (one of them fails), not
+queued.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
+import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..contract import ORDER_CONTRACT, Contract, TablePaths
-from ..functions.ingest import DEFAULT_SOURCE, STATUS_NEW, STATUS_QUARANTINED
+from ..functions.ingest import DEFAULT_SOURCE, STATUS_LOADED, STATUS_NEW, STATUS_QUARANTINED
 from ..operators import derive
-from ..operators.bronze import BRONZE_DDL, status_from_route, to_bronze
-from ..operators.routing import CLEAN, dedupe_records, parse_records, repair, route
+from ..operators.bronze import BRONZE_COLUMNS, BRONZE_DDL, to_bronze
+from ..operators.quality import assert_schema
+from ..operators.routing import CLEAN, dedupe_records, parse_records, repair, route, with_status
+from ..sources import catalog
 from ..sources.files import read_text_lines
 
-COMMITS_DDL = ("version INT, kind STRING, committed_at TIMESTAMP, "
-               "new_upto INT, quarantined_upto INT")
-FILES_DDL = "source_file STRING"
-# Largest file list (bytes of path text, a bound known from the listing) joined by broadcast.
-FILE_LIST_BROADCAST_BYTES = 8 * 1024 * 1024
+COMMITS_DDL = ("attempt STRING, kind STRING, committed_at TIMESTAMP, tables ARRAY<STRING>, "
+               "new_upto INT, quarantined_upto INT, arrivals MAP<STRING, BIGINT>")
+FILES_DDL = "source_file STRING, modified TIMESTAMP, size BIGINT"
+# Tables that are registered under their own names.
+CATALOG_TABLES = ("bronze", "silver", "silver_movie", "genre", "language", "bridge")
+
+
+class CommitConflict(RuntimeError):
+    """Another writer committed since this run began."""
+
+
+def _missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
 
 
 class MedallionStore:
     def __init__(self, spark: SparkSession, root: str, contract: Contract = ORDER_CONTRACT,
                  source: str = DEFAULT_SOURCE, population: str = "all", null_policy: str = "quarantine",
-                 history_dedupe: bool = False):
+                 history_dedupe: bool = True):
         if population not in ("all", "clean"):
             raise ValueError("population is 'all' or 'clean'")
         self.spark = spark
@@ -58,300 +73,343 @@ class MedallionStore:
         self.source = source
         self.population = population
         self.null_policy = null_policy
-        # Also skip lines already loaded by an earlier commit: an anti-join on the
-        # 64-character record key against silver's key column (cost grows with history).
+        # Every append to a silver table leaves out keys the table already has, so a
+        # line, a changed line or an open row that is routed again adds nothing twice.
+        # Off, a table may repeat keys across commits.
         self.history_dedupe = history_dedupe
-        self._state: tuple[int, int, int] | None = None
+        self._log: list[Row] | None = None
 
     # ------------------------------------------------------------------ commits
-    def _read_state(self, version: int | None = None) -> tuple[int, int, int]:
-        """(version, new_upto, quarantined_upto) of the last commit, or of ``version``."""
-        try:
-            log = self.spark.read.schema(COMMITS_DDL).parquet(self.paths.commits)
-            if version is not None:
-                log = log.where(F.col("version") == version)
-            row = log.orderBy(F.col("version").desc()).select("version", "new_upto", "quarantined_upto").first()
-        except AnalysisException:
-            row = None
-        return (0, 0, 0) if row is None else (int(row[0]), int(row[1]), int(row[2]))
+    def commits(self) -> DataFrame:
+        """The commit log: one row per version."""
+        return self.spark.read.schema(f"{COMMITS_DDL}, version INT").parquet(self.paths.commits)
 
     def refresh(self) -> int:
-        """Re-read the last commit from the commit log (one tiny job)."""
-        self._state = self._read_state()
-        return self._state[0]
+        """Re-read the commit log (one row per commit)."""
+        try:
+            self._log = self.commits().orderBy("version").collect()
+        except AnalysisException as error:
+            if not _missing(error):
+                raise
+            self._log = []
+        return self._log[-1]["version"] if self._log else 0
 
     def version(self) -> int:
-        """Last commit this object knows of (read once, then kept up to date by
-        its own commits; call :meth:`refresh` to see other writers' commits)."""
-        if self._state is None:
+        """Last commit this object has seen; :meth:`refresh` looks for other writers' commits."""
+        if self._log is None:
             self.refresh()
-        return self._state[0]
-
-    def _watermarks(self, version: int) -> tuple[int, int]:
-        if self._state is None:
-            self.refresh()
-        if version == self._state[0]:
-            return self._state[1], self._state[2]
-        _, new_upto, q_upto = self._read_state(version)
-        return new_upto, q_upto
-
-    def commits(self) -> DataFrame:
-        return self.spark.read.schema(COMMITS_DDL).parquet(self.paths.commits)
+        return self._log[-1]["version"] if self._log else 0
 
-    def _commit(self, version: int, kind: str, new_upto: int, quarantined_upto: int) -> None:
-        (self.spark.range(1).select(F.lit(version).cast("int").alias("version"), F.lit(kind).alias("kind"),
-                                    F.current_timestamp().alias("committed_at"),
-                                    F.lit(new_upto).cast("int").alias("new_upto"),
-                                    F.lit(quarantined_upto).cast("int").alias("quarantined_upto"))
-         .write.mode("append").parquet(self.paths.commits))
-        self._state = (version, new_upto, quarantined_upto)
+    def _entries(self, version: int | None = None) -> list[Row]:
+        v = self.version() if version is None else version
+        return [e for e in self._log if e["version"] <= v]
+
+    def _begin(self) -> tuple[int, str]:
+        """(version to build on, attempt id) of a new run: always from the log as it is now."""
+        return self.refresh(), f"a{uuid.uuid4().hex}"
+
+    def _watermarks(self, version: int) -> tuple[int, int, dict]:
+        entries = self._entries(version)
+        return (entries[-1]["new_upto"], entries[-1]["quarantined_upto"], entries[-1]["arrivals"] or {}) if entries else (0, 0, {})
+
+    def _commit(self, base: int, attempt: str, kind: str, tables: list[str], new_upto: int, quarantined_upto: int,
+                arrivals: dict | None = None) -> int:
+        """Log the run as the version after ``base``; fails if that version exists."""
+        if self.refresh() != base:
+            raise CommitConflict(f"version {base} was followed by another commit while this run was at work")
+        n = base + 1
+        known = self._watermarks(base)[2] if arrivals is None else arrivals
+        row = self.spark.range(1).select(
+            F.lit(attempt).alias("attempt"), F.lit(kind).alias("kind"), F.current_timestamp().alias("committed_at"),
+            F.array(*[F.lit(t) for t in tables]).cast("array<string>").alias("tables"),
+            F.lit(new_upto).cast("int").alias("new_upto"), F.lit(quarantined_upto).cast("int").alias("quarantined_upto"),
+            F.create_map(*[x for k, v in known.items() for x in (F.lit(k), F.lit(v).cast("bigint"))])
+             .cast("map<string,bigint>").alias("arrivals"))
+        path = f"{self.paths.commits}/version={n}"
+        while True:
+            try:
+                row.write.mode("errorifexists").parquet(path)
+                break
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_ALREADY_EXISTS":
+                    raise
+                if self.refresh() != base:
+                    raise CommitConflict(f"version {n} was committed by another writer") from error
+                n += 1                      # a writer died while it wrote its log row: that number stays unused
+                path = f"{self.paths.commits}/version={n}"
+        self.refresh()
+        if sum(e["version"] == n for e in self._log) != 1:
+            raise CommitConflict(f"version {n} was written by two writers at once")
+        return n
 
     # ------------------------------------------------------------------ readers
     def _empty(self, ddl: str) -> DataFrame:
         return self.spark.createDataFrame([], ddl)
 
-    def _segments(self, path: str, ddl: str, version: int | None = None) -> DataFrame:
+    def _folder(self, table: str) -> str:
+        return getattr(self.paths, table)
+
+    def _segments(self, table: str, ddl: str, entries: list[Row]) -> DataFrame:
+        """Rows of the given commits, with their ``attempt``; other folders are not even listed."""
+        root = self._folder(table)
+        paths = [f"{root}/attempt={e['attempt']}" for e in entries if table in e["tables"]]
+        if not paths:
+            return self._empty(f"{ddl}, attempt STRING")
+        df = self.spark.read.schema(f"{ddl}, attempt STRING").option("basePath", root).parquet(*paths)
+        return df.select(*_names(ddl), "attempt")
+
+    def _routed_ddl(self) -> str:
+        return (f"{BRONZE_DDL}, fixable INT, source_file STRING, source_id STRING, {self.contract.typed_ddl()}, "
+                "reasons ARRAY<STRING>, route STRING")
+
+    def _live(self, version: int, statuses: tuple[str, ...]) -> tuple[list[Row], F.Column]:
+        """Commits that may hold live rows of these statuses, and the filter (on partition columns) that finds them."""
+        entries = self._entries(version)
+        new_upto, q_upto, _ = self._watermarks(version)
+        after = {STATUS_NEW: new_upto, STATUS_QUARANTINED: q_upto}
+        status, live, least = F.col("status"), F.lit(False), version
+        for s in statuses:
+            if s not in after:
+                live, least = live | (status == s), 0
+                continue
+            open_ = [e["attempt"] for e in entries if e["version"] > after[s] and "bronze" in e["tables"]]
+            live = live | ((status == s) & F.col("attempt").isin(open_) & ((F.col("fixable") == 1) | (status == STATUS_NEW)))
+            least = min(least, after[s])
+            if s == STATUS_QUARANTINED and len(statuses) > 1:      # the final ones among them are live for ever
+                live, least = live | ((status == s) & (F.col("fixable") == 0)), 0
+        return [e for e in entries if e["version"] > least], live
+
+    def _bronze_rows(self, version: int | None, statuses: tuple[str, ...], names: list[str]) -> DataFrame:
         v = self.version() if version is None else version
-        if v == 0:
-            return self._empty(ddl)
-        try:
-            df = self.spark.read.schema(f"{ddl}, commit INT").parquet(path)
-        except AnalysisException:
-            return self._empty(ddl)
-        names = _names(ddl)
-        return df.where(F.col("commit") <= v).select(*names)
+        entries, live = self._live(v, statuses)
+        return self._segments("bronze", self._routed_ddl(), entries).where(live).select(*names)
 
     def open_rows(self, version: int | None = None) -> DataFrame:
-        """Rows whose status is still open: live ``new`` and ``quarantined`` segments.
+        """Rows whose status is still open: live ``new`` and ``quarantined`` rows.
 
-        The filter is on partition columns (``commit``, ``status``) only, so
-        consumed segments are pruned at listing time and never read."""
-        v = self.version() if version is None else version
-        if v == 0:
-            return self._empty(BRONZE_DDL)
-        new_upto, q_upto = self._watermarks(v)
-        names = _names(BRONZE_DDL)
-        # Only commits above the lower watermark can hold live rows; naming their
-        # folders keeps consumed segments out of the file listing altogether.
-        root = self.paths.bronze_open
-        first = min(new_upto, q_upto) + 1
-        reader = self.spark.read.schema(f"{BRONZE_DDL}, commit INT")
-        try:
-            df = reader.option("basePath", root).parquet(*[f"{root}/commit={i}" for i in range(first, v + 1)])
-        except AnalysisException:
-            try:
-                df = reader.parquet(root)
-            except AnalysisException:
-                return self._empty(BRONZE_DDL)
-        live = (((F.col("status") == STATUS_NEW) & (F.col("commit") > new_upto))
-                | ((F.col("status") == STATUS_QUARANTINED) & (F.col("commit") > q_upto)))
-        return df.where((F.col("commit") <= v) & live).select(*names)
+        The filter is on partition columns only, so consumed rows are pruned at
+        listing time and never read."""
+        return self._bronze_rows(version, (STATUS_NEW, STATUS_QUARANTINED), _names(BRONZE_DDL))
 
     def bronze(self, version: int | None = None) -> DataFrame:
-        """The bronze table: final rows of committed segments plus the open snapshot."""
-        v = self.version() if version is None else version
-        return self._segments(self.paths.bronze_closed, BRONZE_DDL, v).unionByName(self.open_rows(v))
+        """The bronze table: every ingested row once, with its status."""
+        return self._bronze_rows(version, (STATUS_LOADED, STATUS_NEW, STATUS_QUARANTINED), _names(BRONZE_DDL))
 
     def silver_ddl(self) -> str:
         c = self.contract
         derived = f", {c.partition_column} DATE" if c.partition_expr else ""
         return f"{c.typed_ddl()}{derived}, record_key STRING"
 
-    def table(self, name: str, version: int | None = None) -> DataFrame:
+    def _ddl(self, table: str) -> str:
         c = self.contract
         key = f"{c.key_column} {c.key_type}"
-        specs = {
-            "bronze": None,
-            "silver": (self.paths.silver, self.silver_ddl()),
-            "silver_movie": (self.paths.silver_movie, _drop_field(self.silver_ddl(), c.nested_field)),
-            "genre": (self.paths.genre, f"{key}, genres_id BIGINT, name STRING"),
-            "genre_dim": (self.paths.genre_dim, "genres_id BIGINT, name STRING"),
-            "language": (self.paths.language, f"{key}, " + ", ".join(f"{f} STRING" for f in c.language_fields)),
-            "bridge": (self.paths.bridge, f"{key}, genres_id BIGINT"),
-            "staging": None,
-        }
+        return {
+            "silver": self.silver_ddl(),
+            "silver_movie": _drop_field(self.silver_ddl(), c.nested_field),
+            "genre": f"source_id STRING, {key}, genres_id BIGINT, name STRING",
+            "genre_dim": "genres_id BIGINT, name STRING",
+            "language": f"source_id STRING, {key}, " + ", ".join(f"{f} STRING" for f in c.language_fields),
+            "bridge": f"{key}, genres_id BIGINT",
+            "ingested_files": FILES_DDL,
+        }[table]
+
+    def table(self, name: str, version: int | None = None) -> DataFrame:
+        """A committed table. ``staging`` is the history of every routed line, with its reasons and ``commit``."""
         if name == "bronze":
             return self.bronze(version)
         if name == "staging":
-            # every routed line of every batch and repair, with its reasons
-            v = self.version() if version is None else version
-            if v == 0:
-                return self._empty("value STRING, record_key STRING")
-            try:
-                df = self.spark.read.parquet(self.paths.staging)
-            except AnalysisException:
-                return self._empty("value STRING, record_key STRING")
-            return df.where(F.col("commit") <= v)
-        path, ddl = specs[name]
-        return self._segments(path, ddl, version)
+            entries = self._entries(version)
+            rows = self._segments("bronze", self._routed_ddl(), entries).where(F.col("route").isNotNull())
+            if not entries:
+                return rows.withColumn("commit", F.lit(None).cast("int")).drop("attempt")
+            return rows.join(F.broadcast(self.commits().select("attempt", F.col("version").alias("commit"))), "attempt").drop("attempt")
+        return self._segments(name, self._ddl(name), self._entries(version)).drop("attempt")
 
     def metrics(self, version: int | None = None) -> DataFrame:
         """Per commit: routed lines, distinct records, clean and quarantined lines,
-        and lines per reason, in one aggregation pass over the staged history."""
-        st = self.table("staging", version)
-        if "route" not in st.columns:
-            return self._empty("commit INT, n_lines BIGINT, n_records BIGINT, n_clean BIGINT, "
-                               "n_quarantined BIGINT")
-        reasons = [r.name for r in self.contract.rules] + ["malformed", "missing_key", "bad_key", "bad_date"]
-        return (st.groupBy("commit")
+        and lines per reason, in one aggregation pass over the routing history."""
+        reasons = [r.name for r in self.contract.rules] + ["malformed", "trailing_data", "missing_key", "bad_key", "bad_date", "bad_nested"]
+        return (self.table("staging", version).groupBy("commit")
                 .agg(F.count(F.lit(1)).alias("n_lines"),
                      F.count_distinct("record_key").alias("n_records"),
                      F.count_if(F.col("route") == CLEAN).alias("n_clean"),
                      F.count_if(F.col("route") == "quarantined").alias("n_quarantined"),
                      *[F.count_if(F.array_contains("reasons", r)).alias(f"n_{r}") for r in reasons]))
 
+    def register(self, database: str, version: int | None = None) -> list[str]:
+        """Register the committed tables, as of a version, in the catalog under ``database``.
+
+        Each is a view by the table's name over an external table of all its
+        segments; the view names the committed attempts, so rows of dead runs
+        and consumed rows never show. Calling it again moves the names to the
+        version asked for. Returns the names.
+        """
+        v = self.refresh() if version is None else version
+        entries = self._entries(v)
+        catalog.ensure_database(self.spark, database)
+        for name in CATALOG_TABLES:
+            ddl = self._routed_ddl() if name == "bronze" else self._ddl(name)
+            parts = {"bronze": ["status", "fixable", "p_ingestdate"]}.get(
+                name, [self.contract.partition_column] if name in ("silver", "silver_movie") else [])
+            catalog.register_segments(self.spark, f"{database}.{name}_segments", self._folder(name),
+                                      f"{ddl}, attempt STRING", ["attempt", *parts])
+            shown = BRONZE_COLUMNS + ["record_key"] if name == "bronze" else _names(ddl)
+            attempts = ", ".join(f"'{e['attempt']}'" for e in entries if name in e["tables"]) or "''"
+            condition = f"attempt IN ({attempts})"
+            if name == "bronze":
+                new_upto, q_upto, _ = self._watermarks(v)
+                lists = [", ".join(f"'{e['attempt']}'" for e in entries if e["version"] > upto) or "''" for upto in (new_upto, q_upto)]
+                condition += (f" AND (status = '{STATUS_LOADED}' OR (status = '{STATUS_NEW}' AND attempt IN ({lists[0]})) OR "
+                              f"(status = '{STATUS_QUARANTINED}' AND (fixable = 0 OR attempt IN ({lists[1]}))))")
+            self.spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT {', '.join(f'`{c}`' for c in shown)} "
+                           f"FROM {database}.{name}_segments WHERE {condition}")
+        return [f"{database}.{name}" for name in CATALOG_TABLES]
+
     # ------------------------------------------------------------------ writers
+    def _write(self, df: DataFrame, table: str, attempt: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """Write a segment of this attempt and read it back."""
+        path = f"{self._folder(table)}/attempt={attempt}"
+        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _write_bronze(self, rows: DataFrame, attempt: str) -> DataFrame:
+        return self._write(rows, "bronze", attempt, ("status", "fixable", "p_ingestdate"))
+
     def ingest_lines(self, raw: DataFrame, now: dt.datetime | str | None = None) -> int:
         """Append raw lines (``value``) to bronze as ``new`` rows, in one commit."""
-        v = self.version()
-        new_upto, q_upto = self._watermarks(v)
-        self._write_open(to_bronze(raw, self.source, now), v + 1)
-        self._commit(v + 1, "ingest", new_upto, q_upto)
-        return v + 1
-
-    def _fresh_files(self, lines: DataFrame, v: int) -> DataFrame:
-        """Rows of ``lines`` (with ``source_file``) from files no earlier commit took.
-
-        Used for the stream arrivals table, whose rows carry their source file."""
-        seen = self._segments(self.paths.ingested_files, FILES_DDL, v)
-        return lines.join(seen, "source_file", "left_anti")
-
-    def _fresh_lines(self, raw_path: str, v: int) -> DataFrame:
-        """Lines of the raw files under ``raw_path`` that no earlier commit took.
-
-        The check runs per file, not per line: the listing the driver already
-        made for the scan is turned into a small frame of paths and anti-joined
-        with the file log. Its size is bounded by the listing, so it is
-        broadcast when that bound is small, and the lines are never shuffled;
-        above the bound a shuffled semi-join (skew split by adaptive execution)
-        is used instead.
+        base, attempt = self._begin()
+        new_upto, q_upto, _ = self._watermarks(base)
+        self._write_bronze(to_bronze(raw, self.source, now).withColumn("fixable", F.lit(1)), attempt)
+        return self._commit(base, attempt, "ingest", ["bronze"], new_upto, q_upto)
+
+    def _new_files(self, raw_path: str, base: int) -> DataFrame:
+        """Raw files that no commit took in their present state, from a listing alone.
+
+        A file counts as taken only with the same path, modification time and
+        size, so a name that is delivered again with new content is read again.
+        No file is opened: the listing's columns need no content.
         """
-        lines = read_text_lines(self.spark, raw_path, with_file=True)
-        listed = lines.inputFiles()
-        if v == 0 or not listed:
-            return lines
-        files = (self.spark.createDataFrame([(p,) for p in listed], FILES_DDL)
-                 .select(F.regexp_replace("source_file", r"^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
-                         .alias("source_file"))
-                 .join(self._segments(self.paths.ingested_files, FILES_DDL, v), "source_file", "left_anti"))
-        if sum(len(p) + 16 for p in listed) <= FILE_LIST_BROADCAST_BYTES:
-            files = F.broadcast(files)
-        return lines.join(files, "source_file", "left_semi")
+        listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(raw_path) \
+            .select(F.col("path").alias("source_file"), F.col("modificationTime").alias("modified"), F.col("length").alias("size"))
+        return listed.join(self.table("ingested_files", base), ["source_file", "modified", "size"], "left_anti")
 
     def run_batch(self, raw_path: str | None = None, raw: DataFrame | None = None,
                   now: dt.datetime | str | None = None) -> int:
-        """Ingest new raw files (skipping files ingested before) or lines, then
+        """Ingest new raw files (leaving out files ingested before) or lines, then
         parse, route and load every ``new`` bronze row, in one commit."""
-        v = self.version()
-        n = v + 1
-        _, q_upto = self._watermarks(v)
-        candidates = self.open_rows(v).where(F.col("status") == STATUS_NEW)
+        base, attempt = self._begin()
+        q_upto = self._watermarks(base)[1]
+        candidates = self._bronze_rows(base, (STATUS_NEW,), _names(BRONZE_DDL)).withColumn("source_file", F.lit(None).cast("string"))
+        tables = []
         if raw_path is not None:
-            lines = self._fresh_lines(raw_path, v)
-            fresh = to_bronze(lines, self.source, now, keep=("source_file",))
-            candidates = candidates.withColumn("source_file", F.lit(None).cast("string")).unionByName(fresh)
+            files = self._write(self._new_files(raw_path, base), "ingested_files", attempt)
+            tables.append("ingested_files")
+            # the scan is given the new files by name: files taken before are neither listed nor opened
+            names = [_literal_path(r["source_file"]) for r in files.select("source_file").toLocalIterator()]
+            if names:
+                lines = read_text_lines(self.spark, names, with_file=True)
+                candidates = candidates.unionByName(to_bronze(lines, self.source, now, keep=("source_file",)))
         elif raw is not None:
-            candidates = candidates.unionByName(to_bronze(raw.select("value"), self.source, now))
-        if "source_file" not in candidates.columns:
-            candidates = candidates.withColumn("source_file", F.lit(None).cast("string"))
-        self._process(candidates, n, repairing=False, took_files=raw_path is not None)
-        self._commit(n, "batch", n - 1, q_upto)     # every earlier 'new' segment is consumed
-        return n
+            candidates = candidates.unionByName(to_bronze(raw.select("value"), self.source, now)
+                                                .withColumn("source_file", F.lit(None).cast("string")))
+        tables += self._process(candidates, base, attempt, repairing=False)
+        return self._commit(base, attempt, "batch", tables, base, q_upto)     # every earlier 'new' row is consumed
 
     def fold_arrivals(self, arrivals_path: str) -> int:
-        """Fold rows of the streaming arrivals table (W1) into bronze as ``new``,
-        skipping source files already ingested; one commit."""
-        v = self.version()
-        n = v + 1
-        arr = self.spark.read.parquet(arrivals_path)
-        fresh = self._fresh_files(arr, v)
-        (fresh.select("source_file").distinct().write.mode("overwrite")
-         .parquet(f"{self.paths.ingested_files}/commit={n}"))
-        names = _names(BRONZE_DDL)
-        new_upto, q_upto = self._watermarks(v)
-        self._write_open(fresh.select(*names), n)
-        self._commit(n, "arrivals", new_upto, q_upto)
-        return n
-
-    def run_repair(self) -> int:
-        """Repair quarantined rows (contract repairs), route them again and load
-        those that now pass; the rest stay quarantined. One commit."""
-        v = self.version()
-        n = v + 1
-        new_upto, _ = self._watermarks(v)
-        candidates = (self.open_rows(v).where(F.col("status") == STATUS_QUARANTINED)
-                      .withColumn("source_file", F.lit(None).cast("string")))
-        self._process(candidates, n, repairing=True)
-        self._commit(n, "repair", new_upto, n - 1)  # every earlier 'quarantined' segment is consumed
-        return n
+        """Fold the micro-batches of a streaming arrivals table (W1) that came since
+        the last fold into bronze as ``new``; one commit.
 
-    def _write_open(self, rows: DataFrame, n: int) -> None:
-        """Rows entering an open status at commit ``n`` (a retry overwrites the segment)."""
-        (rows.write.mode("overwrite").partitionBy("status", "p_ingestdate")
-         .parquet(f"{self.paths.bronze_open}/commit={n}"))
+        Micro-batches are folders, so those folded before are pruned, not joined
+        away. Fold a table while no stream is writing it.
+        """
+        base, attempt = self._begin()
+        new_upto, q_upto, arrivals = self._watermarks(base)
+        done = arrivals.get(arrivals_path, -1)
+        rows = self.spark.read.schema(f"{BRONZE_DDL}, source_file STRING, batch_id BIGINT").parquet(arrivals_path) \
+            .where(F.col("batch_id") > done)
+        last = rows.agg(F.max("batch_id").alias("b")).first()["b"]
+        upto = done if last is None else last
+        self._write_bronze(rows.where(F.col("batch_id") <= upto).select(*_names(BRONZE_DDL), "source_file")
+                           .withColumn("fixable", F.lit(1)), attempt)
+        return self._commit(base, attempt, "arrivals", ["bronze"], new_upto, q_upto, {**arrivals, arrivals_path: upto})
 
-    def _process(self, candidates: DataFrame, n: int, repairing: bool, took_files: bool = False) -> None:
+    def run_repair(self) -> int:
+        """Repair quarantined rows that a repair may change (contract repairs), route them
+        again and load those that now pass; the rest stay quarantined for good. One commit."""
+        base, attempt = self._begin()
+        new_upto = self._watermarks(base)[0]
+        candidates = self._bronze_rows(base, (STATUS_QUARANTINED,), [*_names(BRONZE_DDL), "source_file"])
+        tables = self._process(candidates, base, attempt, repairing=True)
+        return self._commit(base, attempt, "repair", tables, new_upto, base)  # every earlier repairable row is consumed
+
+    def _process(self, candidates: DataFrame, base: int, attempt: str, repairing: bool) -> list[str]:
+        """Route the candidates and write all segments of the run; the tables written."""
         c = self.contract
-        seg = f"commit={n}"
         parsed = parse_records(candidates, c)
+        assert_schema(parsed.select(*c.typed_fields()), c.typed_ddl())
         if repairing:
             parsed = repair(parsed, c)
-        routed = route(parsed, c, self.null_policy)
-        stage_path = f"{self.paths.staging}/{seg}"
-        routed.write.mode("overwrite").parquet(stage_path)
-        st = self.spark.read.schema(routed.schema).parquet(stage_path)
-        if took_files:                       # files taken by this batch, for later runs to skip
-            (st.where(F.col("source_file").isNotNull()).select("source_file").distinct()
-             .write.mode("overwrite").parquet(f"{self.paths.ingested_files}/{seg}"))
+        routed = with_status(route(parsed, c, self.null_policy), final=repairing)
+        st = self._write_bronze(routed.select(*_names(self._routed_ddl())), attempt)
         clean = st.where(F.col("route") == CLEAN)
 
         # REBALANCE clusters rows by the partition column (one file per value and
         # task, not one per value in every task) and lets adaptive execution
         # split a value that holds a large share of the rows over several tasks.
         part = c.partition_column
-        records = dedupe_records(clean)
-        loaded = self.table("silver", n - 1).select("record_key") if self.history_dedupe else None
-        if loaded is not None:
-            records = records.join(loaded, "record_key", "left_anti")
-        wide = derive.silver_wide(records, c).hint("rebalance", part)
-        wide.write.mode("overwrite").partitionBy(part).parquet(f"{self.paths.silver}/{seg}")
+        wide = derive.silver_wide(dedupe_records(clean), c)
+        assert_schema(wide, self.silver_ddl())
+        wide_now = self._write(self._unknown(wide, "silver", base, ["record_key"]).hint("rebalance", part), "silver", attempt, (part,))
+        if not wide_now.isEmpty():
+            # the types of the files themselves; a partition's type is guessed from folder names
+            stored = self.spark.read.parquet(f"{self.paths.silver}/attempt={attempt}").drop(part)
+            assert_schema(stored, _drop_field(self.silver_ddl(), part))
         # The movie table is the wide segment just written, minus the nested text:
         # its files are already one per partition value, so no shuffle is needed.
-        wide_now = self.spark.read.schema(wide.schema).parquet(f"{self.paths.silver}/{seg}")
-        (derive.silver_movie(wide_now, c).write.mode("overwrite").partitionBy(part)
-         .parquet(f"{self.paths.silver_movie}/{seg}"))
-
+        self._write(derive.silver_movie(wide_now, c), "silver_movie", attempt, (part,))
+        tables = ["bronze", "silver", "silver_movie"]
         if repairing and self.population == "all":
-            population = None            # these records were derived when first routed
-        else:
-            population = st if self.population == "all" else clean
-        if population is not None and loaded is not None:
-            # a batch skips lines routed by any earlier run (their rows were derived
-            # then); a repair's records were routed before by definition, so it
-            # skips only lines already loaded
-            seen = loaded if repairing else self.table("staging", n - 1).select("record_key")
-            population = population.join(seen, "record_key", "left_anti")
-        if population is not None:
-            genres = derive.genre_rows(population, c)
-            genres.write.mode("overwrite").parquet(f"{self.paths.genre}/{seg}")
-            g_now = self.spark.read.schema(genres.schema).parquet(f"{self.paths.genre}/{seg}")
-            known = self.table("genre_dim", n - 1)
-            (derive.genre_dimension(g_now).join(known, ["genres_id", "name"], "left_anti")
-             .write.mode("overwrite").parquet(f"{self.paths.genre_dim}/{seg}"))
-            derive.language_rows(population, c).write.mode("overwrite").parquet(f"{self.paths.language}/{seg}")
-            # bridge = key pairs of the genre rows (typed Parquet; no second parse or explode)
-            (g_now.select(c.key_column, "genres_id").dropDuplicates()
-             .write.mode("overwrite").parquet(f"{self.paths.bridge}/{seg}"))
-
-        (status_from_route(clean).write.mode("overwrite").partitionBy("p_ingestdate")
-         .parquet(f"{self.paths.bronze_closed}/{seg}"))
-        self._write_open(status_from_route(st.where(F.col("route") != CLEAN)), n)
+            return tables                    # these records were derived when first routed
+        population = st if self.population == "all" else clean
+        # narrow tables: each appends what its own columns do not hold yet
+        genres = self._unknown(derive.genre_rows(population, c), "genre", base)
+        g_now = self._write(genres, "genre", attempt)
+        self._write(self._unknown(derive.genre_dimension(g_now), "genre_dim", base), "genre_dim", attempt)
+        self._write(self._unknown(derive.language_rows(population, c), "language", base), "language", attempt)
+        # bridge = key pairs of the genre rows (typed Parquet; no second parse or explode)
+        pairs = g_now.where(F.col(c.key_column).isNotNull()).select(c.key_column, "genres_id").dropDuplicates()
+        self._write(self._unknown(pairs, "bridge", base), "bridge", attempt)
+        return [*tables, "genre", "genre_dim", "language", "bridge"]
+
+    def _unknown(self, rows: DataFrame, table: str, base: int, keys: list[str] | None = None) -> DataFrame:
+        """``rows`` whose keys (all columns unless given) the committed table does not hold; nulls are equal."""
+        known = [e for e in self._entries(base) if table in e["tables"]]
+        if not self.history_dedupe or not known:
+            return rows
+        keys = keys or rows.columns
+        held = self._segments(table, self._ddl(table), known)
+        part = self.contract.partition_column
+        if part in rows.columns and keys == ["record_key"]:
+            # equal lines have the same partition, so only partitions of this run are looked at
+            # (their number is bounded by the table's layout, not by its rows)
+            present = [r[0] for r in rows.select(part).distinct().collect()]
+            held = held.where(F.col(part).isin([p for p in present if p is not None]) | F.col(part).isNull())
+        held = held.select(*[F.col(k).alias(f"_{k}") for k in keys])
+        condition = F.lit(True)
+        for k in keys:
+            condition = condition & F.col(k).eqNullSafe(F.col(f"_{k}"))
+        return rows.join(held, condition, "left_anti")
 
 
 def _names(ddl: str) -> list[str]:
     return StructType.fromDDL(ddl).fieldNames()
 
 
+def _literal_path(path: str) -> str:
+    """A file's path as the readers take it, with pattern characters escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def _drop_field(ddl: str, name: str) -> str:
     s = StructType.fromDDL(ddl)
     return ", ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in s.fields if f.name != name)

@@ -23,10 +23,6 @@ SESSION_DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.json.filterPushdown.enabled": "true",
-    # Task output goes straight to the table folder (one rename, not two). A
-    # failed job can leave files behind, but readers of the store only see
-    # segments of committed batches and a retry overwrites its own segment.
-    "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "2",
 }
 
 
@@ -37,7 +33,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "16g"))
+               .config("spark.driver.memory", "8g"))
     for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -47,7 +43,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master          # "local-cluster" has executors of its own
+    return master.startswith("local") and not master.startswith("local-cluster")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

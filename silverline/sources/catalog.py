@@ -36,3 +36,13 @@ def register_external(spark: SparkSession, name: str, path: str, fmt: str = "par
     if partitioned:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     return spark.table(name)
+
+
+def register_segments(spark: SparkSession, name: str, path: str, ddl: str, partition_by: list[str]) -> None:
+    """(Re-)register ``name`` over a partitioned folder with a declared schema; the folder may not exist yet."""
+    _check(name)
+    if "'" in path:
+        raise ValueError("path must not contain quotes")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet PARTITIONED BY ({', '.join(partition_by)}) LOCATION '{path}'")
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")

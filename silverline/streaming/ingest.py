@@ -2,13 +2,15 @@
 
 A batch reader cannot know which raw files it has already read; a file
 stream source with a checkpoint can. Each run processes only files that
-arrived since the last run (``trigger(availableNow=True)``) and the Parquet
-file sink commits each micro-batch exactly once through its metadata log.
+arrived since the last run (``trigger(availableNow=True)``). A micro-batch is
+written as its own folder ``batch_id=B``; a micro-batch that is run again after
+a failure has the same files and overwrites that folder, so each line is there
+exactly once, and later readers can take micro-batches by their number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ingest import DEFAULT_SOURCE
@@ -16,14 +18,15 @@ from ..operators.bronze import to_bronze
 
 
 def stream_ingest(spark: SparkSession, raw_dir: str, sink_path: str, checkpoint: str,
-                  source: str = DEFAULT_SOURCE, timeout_s: float = 600.0,
+                  source: str = DEFAULT_SOURCE, timeout_s: float | None = None,
                   max_files_per_trigger: int | None = None) -> dict:
     """Run the ingest once over everything available and stop.
 
-    Output rows are bronze rows (status ``new``) plus ``source_file``, so a
-    batch can fold them in without taking a file twice. Returns row, batch
-    and file counts from the query's progress reports; it waits at most
-    ``timeout_s`` seconds and never polls forever.
+    Output rows are bronze rows (status ``new``) plus ``source_file`` and the
+    partition column ``batch_id``. Returns the number of micro-batches, rows and
+    files of this run, counted in what it wrote. It runs until all is read;
+    ``timeout_s`` stops it earlier, with ``finished`` False, and a later run
+    goes on from there.
     """
     reader = spark.readStream.schema("value STRING")
     if max_files_per_trigger:
@@ -31,16 +34,24 @@ def stream_ingest(spark: SparkSession, raw_dir: str, sink_path: str, checkpoint:
     lines = (reader.text(raw_dir)
              .select("value", F.col("_metadata.file_path").alias("source_file"))
              .where(F.length(F.trim(F.col("value"))) > 0))
-    query = (to_bronze(lines, source, keep=("source_file",))
-             .writeStream.format("parquet")
-             .option("checkpointLocation", checkpoint)
-             .partitionBy("p_ingestdate")
-             .trigger(availableNow=True)
-             .start(sink_path))
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
-        query.stop()
-    progress = query.recentProgress
-    return {"finished": bool(finished),
-            "batches": sum(1 for p in progress if p.get("numInputRows", 0) > 0),
-            "rows": int(sum(p.get("numInputRows", 0) for p in progress))}
+    written: list[int] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").partitionBy("p_ingestdate").parquet(f"{sink_path}/batch_id={batch_id}")
+        written.append(batch_id)
+
+    query = (to_bronze(lines, source, keep=("source_file",)).writeStream.foreachBatch(write)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    if timeout_s is None:
+        query.awaitTermination()
+        finished = True
+    else:
+        finished = bool(query.awaitTermination(timeout_s))
+        if not finished:
+            query.stop()
+    counts = {"rows": 0, "files": 0}
+    if written:
+        rows = spark.read.parquet(sink_path).where(F.col("batch_id").between(min(written), max(written)))
+        row = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("source_file").alias("files")).first()
+        counts = {"rows": row["rows"], "files": row["files"]}
+    return {"finished": finished, "batches": len(set(written)), **counts}
