@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from silverline.llm.wordhash import WordHasher, joined, mixed, slabs
+from silverline.llm.wordhash import WordHasher, joined, mixed, text_slabs
 
 EDIT_SHARE = 0.2           # edits allowed, as a share of the item's words
 BLOCK_BYTES = 16 << 20     # item text broadcast at once
@@ -142,21 +142,18 @@ def least_distance(m: int, masks: dict[int, int], text: list[int]) -> int:
 
 def _matches(items, batches):
     block, hasher = items.value, PassageHasher()
+    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("allowed", pa.int32())]))
     for batch in batches:
-        texts = [t or "" for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
-        found: list[list[tuple[int, int, int]]] = []
-        for first, end in slabs(texts):
-            words, at = words_by_text(texts[first:end], hasher)
+        for part, texts in text_slabs(batch):
+            words, at = words_by_text([t.decode() for t in texts], hasher)
             position, item, offset = block.hits(words)
             order = np.argsort(position, kind="stable")
             position, item, offset = position[order], item[order], offset[order]
             cuts = np.searchsorted(position, at)
-            for d in range(end - first):
-                a, b = cuts[d], cuts[d + 1]
-                found.append(block.match(words[at[d]:at[d + 1]], position[a:b] - at[d], item[a:b], offset[a:b]) if b > a else [])
-        hits = [[{"item_id": i, "distance": e, "allowed": n} for i, e, n in f] for f in found]
-        kind = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("allowed", pa.int32())]))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hits, kind)], [*batch.schema.names, "_leaks"])
+            found = [block.match(words[at[d]:at[d + 1]], position[a:b] - at[d], item[a:b], offset[a:b]) if b > a else []
+                     for d, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
+            hits = [[{"item_id": i, "distance": e, "allowed": n} for i, e, n in f] for f in found]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(hits, kind)], [*part.schema.names, "_leaks"])
 
 
 _LEAKS = ArrayType(StructType([StructField("item_id", LongType()), StructField("distance", IntegerType()),

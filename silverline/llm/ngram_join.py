@@ -27,12 +27,12 @@ from pyspark.sql import functions as F
 
 from silverline.llm.common import cut
 from silverline.llm.components import Forest, components
-from silverline.llm.wordhash import WordHasher, joined, mixed, slabs
+from silverline.llm.wordhash import WordHasher, joined, mixed, text_slabs
 
-FLUSH_PAIRS = 1 << 21          # (signature, class) pairs a task holds before it passes them on
+FLUSH_PAIRS = 1 << 20          # (signature, class) pairs a task holds before it passes them on
 GROUP_PAIRS = 1 << 21          # pairs of one reducing task, about
-BLOCK_GRAMS = 1 << 19          # n-grams of one block of a family, about
-BUNDLE_GRAMS = 1 << 20         # n-grams of families that share a task, about
+BLOCK_GRAMS = 1 << 18          # n-grams of one block of a family, about
+BUNDLE_GRAMS = 1 << 17         # n-grams of families that share a task, about
 SMALL = 64                     # up to this size, sets are told apart by single n-grams
 BROADCAST_BYTES = 64 << 20     # a larger table of members or losers is shuffled
 
@@ -125,21 +125,15 @@ class Scheme:
         return np.concatenate(out)
 
 
-def _texts(batch: pa.RecordBatch) -> list[bytes]:
-    return [t or b"" for t in batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()]
-
-
 def _describe(n: int, batches):
     hasher = WordHasher()
     for batch in batches:
-        texts, sizes, prints = _texts(batch), [], []
-        for first, end in slabs(texts):
-            for grams in gram_sets(texts[first:end], n, hasher):
-                sizes.append(len(grams))
-                prints.append(fingerprint(grams))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array([p[0] for p in prints], pa.int64()),
-             pa.array([p[1] for p in prints], pa.int64())], ["doc_id", "size", "class", "check"])
+        for part, texts in text_slabs(batch):
+            sets = gram_sets(texts, n, hasher)
+            prints = [fingerprint(grams) for grams in sets]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array([len(grams) for grams in sets], pa.int64()), pa.array([p[0] for p in prints], pa.int64()),
+                 pa.array([p[1] for p in prints], pa.int64())], ["doc_id", "size", "class", "check"])
 
 
 def stars(signature: np.ndarray, node: np.ndarray):
@@ -177,9 +171,8 @@ def _sign(n: int, num: int, den: int, groups: int, batches):
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(rows, pa.binary())], ["grp", "pairs"])
 
     for batch in batches:
-        texts = _texts(batch)
-        for first, end in slabs(texts):
-            for grams in gram_sets(texts[first:end], n, hasher):
+        for _, texts in text_slabs(batch):
+            for grams in gram_sets(texts, n, hasher):
                 if not len(grams):
                     continue
                 name = fingerprint(grams)[0]

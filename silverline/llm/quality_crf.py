@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from silverline.llm.wordhash import WordHasher, joined, slabs
+from silverline.llm.wordhash import WordHasher, joined, text_slabs
 
 TRAIN_DOCS = 4000
 TRAIN_LINES = 64
@@ -150,22 +150,16 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT
 
 
-def _texts(batch: pa.RecordBatch) -> list[bytes]:
-    return [t or b"" for t in batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()]
-
-
 def _sample_features(batches):
     hasher = WordHasher()
     for batch in batches:
-        texts = _texts(batch)
-        for first, end in slabs(texts):
-            features, lines, _ = line_features(texts[first:end], hasher)
+        for part, texts in text_slabs(batch):
+            features, lines, _ = line_features(texts, hasher)
             at, rows = 0, []
             for n in lines:
                 skip = max(0, (int(n) - TRAIN_LINES) // 2)          # lines in a row from the middle of the text
                 rows.append(features[at + skip:at + min(n, skip + TRAIN_LINES)].tobytes())
                 at += n
-            part = batch.slice(first, end - first)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(rows, pa.binary())],
                                              ["doc_id", "quality", "features"])
 
@@ -194,15 +188,12 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Crf:
 def _score(model: Crf, batches):
     hasher = WordHasher()
     for batch in batches:
-        texts = _texts(batch)
-        scores = []
-        for first, end in slabs(texts):
-            features, lines, weight = line_features(texts[first:end], hasher)
+        for part, texts in text_slabs(batch):
+            features, lines, weight = line_features(texts, hasher)
             good = model.marginals(features, lines)
             at = np.cumsum(lines) - lines
-            scores.append(np.add.reduceat(good * weight, at) / np.add.reduceat(weight, at))
-        score = np.clip(np.concatenate(scores), 0, 1) if scores else np.zeros(0)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, "_score"])
+            score = np.clip(np.add.reduceat(good * weight, at) / np.add.reduceat(weight, at), 0, 1)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], [*part.schema.names, "_score"])
 
 
 def score_documents(docs: DataFrame, model: Crf) -> DataFrame:

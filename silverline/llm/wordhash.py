@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-SLAB_BYTES = 1 << 22     # texts are hashed in slabs of about this size; a longer text is a slab of its own
+SLAB_BYTES = 1 << 20     # texts are hashed in slabs of about this size; a longer text is a slab of its own
 
 _PRIME = 0x9E3779B97F4A7C15      # odd, so it has an inverse modulo 2^64
 
@@ -16,16 +18,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def slabs(texts: list[bytes], most: int = SLAB_BYTES):
-    """(first, end) of runs of texts that are hashed together."""
-    first, size = 0, 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > most:
-            yield first, i
-            first, size = i, 0
-        size += len(text) + 1
-    if first < len(texts):
-        yield first, len(texts)
+def text_slabs(batch: pa.RecordBatch, most: int = SLAB_BYTES):
+    """(rows, texts as bytes, null as empty) of runs of rows whose texts make about ``most`` bytes.
+
+    Only one run's texts are copied out of the batch at a time.
+    """
+    column = batch.column(batch.schema.get_field_index("text")).cast(pa.binary())
+    end = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    first = 0
+    while first < batch.num_rows:
+        done = end[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(end, done + most, "right")))
+        yield batch.slice(first, last - first), [t or b"" for t in column.slice(first, last - first).to_pylist()]
+        first = last
 
 
 class WordHasher:
