@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,32 +31,6 @@ class Forest:
         return roots[1:]
 
 
-def contract(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Stars (member, least member) with the same components as the edges (a, b)."""
-    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
-    left, right = ends[:len(a)], ends[len(a):]
-    parent = np.arange(len(nodes))
-    while True:                                   # hooking and jumping, all edges at once
-        low = np.minimum(parent[left], parent[right])
-        new = parent.copy()
-        np.minimum.at(new, parent[left], low)
-        np.minimum.at(new, parent[right], low)
-        new = np.minimum(new, new[new])
-        new = new[new]
-        if (new == parent).all():
-            break
-        parent = new
-    moved = np.flatnonzero(parent != np.arange(len(nodes)))
-    return nodes[moved], nodes[parent[moved]]
-
-
-def _contract_parts(batches):
-    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
-    if parts:
-        a, b = contract(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-
 def _state(edges: DataFrame):
     row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
     return row["n"], row["h"]
@@ -66,12 +39,12 @@ def _state(edges: DataFrame):
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node with an edge to another; root is the least node of its component.
 
-    ``edges`` has long columns a and b. Parts are contracted where they lie;
-    then large stars and small stars alternate until nothing changes, a number
-    of rounds that grows with the logarithm of the longest path. Every round is
+    ``edges`` has long columns a and b. Large stars and small stars alternate
+    until nothing changes, a number of rounds that grows with the logarithm of
+    the longest path. Every round is
     written to the shared folder, so a lost executor costs one round at most.
     """
-    edges = cut(edges.select("a", "b").filter("a <> b").mapInArrow(_contract_parts, "a long, b long").distinct(), "edges")
+    edges = cut(edges.select("a", "b").filter("a <> b").distinct(), "edges")
     before = _state(edges)
     while before[0]:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -98,8 +98,9 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as the mix takes them: a row for every time a document is read, all columns kept.
 
     The row at a source's cut is read whole if at least half of it is within the
-    budget. Since rows are taken in key order, the cut is one key a source; the
-    table of cuts, a row for each source, is all that is joined with the texts.
+    budget. Since rows are taken in key order, the cut is one key a source. The
+    table of cuts, a row for each source, is written first, so that its size is
+    known and Spark need not shuffle the texts to join it when it is small.
     """
     taken = mix(sizes_of(docs), **options).withColumn("_key", hash60(F.col("doc_id"))) \
         .withColumn("_epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int"))
@@ -108,7 +109,7 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
         .agg(F.max("_epochs").alias("_epochs"), F.max(F.when(extra, F.col("_key"))).alias("_last"))
     more = F.when((hash60(F.col("doc_id")) <= F.col("_last")) & (word_count(F.col("text")) > 0), 1).otherwise(0)
     copies = F.when(word_count(F.col("text")) > 0, F.col("_epochs") + more).otherwise(0)
-    return docs.join(cuts, F.col("source").eqNullSafe(F.col("_source"))) \
+    return docs.join(cut(cuts, "mix-cuts"), F.col("source").eqNullSafe(F.col("_source"))) \
         .withColumn("_copies", copies).filter("_copies > 0") \
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))) \
         .select(*[docs[c] for c in docs.columns])

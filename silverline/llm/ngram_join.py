@@ -7,7 +7,11 @@ Candidates. The hash range is cut into parts, a few more than two sets within
 the similarity can differ in. By the pigeonhole principle such a pair agrees on
 a whole part, a run of both ordered sets, so classes that share no part of equal
 content cannot be linked. Classes are grouped by such shared parts into
-families; pairs are never listed, only a star for every shared part.
+families; pairs are never listed, only a star for every shared part. Passages
+that many documents share make loose families, so each class also has a sketch:
+the parities of its n-grams in a few bits for each. Sketches differ in no more
+bits than the sets differ in n-grams, so pairs of a family whose sketches differ
+too much are ruled out before any text moves.
 
 Join. Within a family, the ordered sets are stored in a trie. It is walked with
 all sets of the family as queries at once: the overlap of a path is counted once
@@ -31,6 +35,7 @@ from silverline.llm.wordhash import WordHasher, joined, mixed, text_slabs
 
 FLUSH_PAIRS = 1 << 20          # (signature, class) pairs a task holds before it passes them on
 GROUP_PAIRS = 1 << 21          # pairs of one reducing task, about
+SKETCH_BYTES = 1 << 22         # sketches of one block of a loose family, about
 BLOCK_GRAMS = 1 << 18          # n-grams of one block of a family, about
 BUNDLE_GRAMS = 1 << 17         # n-grams of families that share a task, about
 SMALL = 64                     # up to this size, sets are told apart by single n-grams
@@ -104,6 +109,10 @@ class Scheme:
         self.known[band] = differ + 1 + spare, spare
         return self.known[band]
 
+    def sketch_bits(self, band: int) -> int:
+        self.parts(band)
+        return max(64, 1 << int(self.edges[band]).bit_length())
+
     def signatures(self, grams: np.ndarray) -> np.ndarray:
         """Words of which linked sets share one at least."""
         own = self.band(len(grams))
@@ -125,15 +134,30 @@ class Scheme:
         return np.concatenate(out)
 
 
-def _describe(n: int, batches):
-    hasher = WordHasher()
+def sketch(grams: np.ndarray, bits: int) -> bytes:
+    """Parity of the number of n-grams in each of ``bits`` (a power of two) classes."""
+    return np.packbits(np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
+
+
+def folded(packed: bytes, bits: int) -> bytes:
+    """The sketch in fewer bits: its halves, one upon the other."""
+    words = np.frombuffer(packed, np.uint8)
+    while len(words) * 8 > bits:
+        words = words[:len(words) // 2] ^ words[len(words) // 2:]
+    return words.tobytes()
+
+
+def _describe(n: int, num: int, den: int, batches):
+    hasher, scheme = WordHasher(), Scheme(num, den)
     for batch in batches:
         for part, texts in text_slabs(batch):
             sets = gram_sets(texts, n, hasher)
             prints = [fingerprint(grams) for grams in sets]
+            sketches = [sketch(grams, scheme.sketch_bits(scheme.band(len(grams)))) if len(grams) else b"" for grams in sets]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([len(grams) for grams in sets], pa.int64()), pa.array([p[0] for p in prints], pa.int64()),
-                 pa.array([p[1] for p in prints], pa.int64())], ["doc_id", "size", "class", "check"])
+                 pa.array([p[1] for p in prints], pa.int64()), pa.array(sketches, pa.binary())],
+                ["doc_id", "size", "class", "check", "sketch"])
 
 
 def stars(signature: np.ndarray, node: np.ndarray):
@@ -288,10 +312,64 @@ def _join_blocks(n: int, num: int, den: int, table: pa.Table) -> pa.Table:
     return _edge_rows(np.concatenate(found) if found else np.zeros((0, 2), np.int64))
 
 
-def describe(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, size, class and check (128 bits that name the set) of every document, written once."""
-    return cut(docs.select("doc_id", "text").mapInArrow(partial(_describe, n), "doc_id long, size long, class long, check long"),
-               "gram-classes")
+def _by_band(num: int, den: int, batches):
+    """Each class of a family once for its own band and once for the one below, its sketch in that band's bits."""
+    scheme = Scheme(num, den)
+    for batch in batches:
+        rows = []
+        for family, name, size, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            own = scheme.band(size)
+            rows += [(family, band, name, size, folded(packed, scheme.sketch_bits(band))) for band in {own, max(own - 1, 0)}]
+        kinds = (("family", pa.int64()), ("band", pa.int32()), ("class", pa.int64()), ("size", pa.int64()), ("sketch", pa.binary()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True)],
+                                         [k for k, _ in kinds])
+
+
+def _near_sketches(num: int, den: int, table: pa.Table) -> pa.Table:
+    """Pairs of two blocks of a family and band that the sketches do not rule out, as the edges of a forest."""
+    names, sizes, blocks = (table.column(c).to_numpy() for c in ("class", "size", "block"))
+    low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+    words = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(names), -1)
+    left, right = np.flatnonzero(blocks == low), np.flatnonzero(blocks == high)
+    right = right[np.argsort(sizes[right], kind="stable")]
+    ordered, held = sizes[right], words[right]
+    forest, edges = Forest(len(names)), []
+    for i in left:
+        a = np.searchsorted(ordered, -(-sizes[i] * num // den), "left")
+        b = np.searchsorted(ordered, sizes[i] * den // num, "right")
+        differ = np.bitwise_count(held[a:b] ^ words[i]).sum(1)
+        near = right[a:b][differ * (num + den) <= (den - num) * (ordered[a:b] + sizes[i])]
+        moved = forest.unite(np.append(near, i))
+        if len(moved):
+            edges.append(np.stack([names[moved], names[forest.roots(moved)]], 1))
+    return _edge_rows(np.concatenate(edges) if edges else np.zeros((0, 2), np.int64))
+
+
+def _tightened(loose: DataFrame, num: int, den: int) -> DataFrame:
+    """(class, family): the parts of loose families (family, class, size, sketch) that sketches leave together."""
+    rows = cut(loose.select("family", "class", "size", "sketch")
+               .mapInArrow(partial(_by_band, num, den), "family long, band int, class long, size long, sketch binary"), "gram-sketches")
+    blocks = rows.groupBy("family", "band").agg(F.ceil(F.sum(F.octet_length("sketch")) / SKETCH_BYTES).cast("int").alias("blocks"))
+    pairs = rows.join(blocks, ["family", "band"]) \
+        .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")) \
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+        .select("family", "band", F.least("block", "_other").alias("low"), F.greatest("block", "_other").alias("high"),
+                "block", "class", "size", "sketch")
+    edges = pairs.groupBy("family", "band", "low", "high") \
+        .applyInArrow(lambda table: _near_sketches(num, den, table), "a long, b long")
+    return _with_roots(components(edges))
+
+
+def _with_roots(stars: DataFrame) -> DataFrame:
+    """(class, family) of all members of components, their roots too."""
+    members = stars.select(F.col("node").alias("class"), F.col("root").alias("family"))
+    return members.unionAll(members.select(F.col("family").alias("class"), "family").distinct())
+
+
+def describe(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """doc_id, size, class and check (128 bits that name the set) and sketch of every document, written once."""
+    return cut(docs.select("doc_id", "text").mapInArrow(
+        partial(_describe, n, num, den), "doc_id long, size long, class long, check long, sketch binary"), "gram-classes")
 
 
 def _families(docs: DataFrame, total: int, n: int, num: int, den: int) -> DataFrame:
@@ -299,17 +377,16 @@ def _families(docs: DataFrame, total: int, n: int, num: int, den: int) -> DataFr
     groups = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-3 * total * (den - num) // num // GROUP_PAIRS))
     signed = docs.select("text").mapInArrow(partial(_sign, n, num, den, groups), "grp int, pairs binary")
     met = signed.repartition(groups, "grp").groupBy("grp").applyInArrow(lambda key, table: _meet(key, table), "a long, b long")
-    return components(met).select(F.col("node").alias("class"), F.col("root").alias("family"))
+    return _with_roots(components(met))
 
 
 def linked_classes(docs: DataFrame, described: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(class, root): classes that are linked to another, with the least class of their component."""
     classes = described.filter("size > 0").groupBy("class", "check") \
-        .agg(F.min("doc_id").alias("doc_id"), F.max("size").alias("size"))
+        .agg(F.min("doc_id").alias("doc_id"), F.max("size").alias("size"), F.max("sketch").alias("sketch"))
     total = described.agg(F.sum("size").alias("s")).first()["s"] or 0
-    families = _families(docs, total, n, num, den)
-    members = families.unionAll(families.select(F.col("family").alias("class"), "family").distinct())
-    members = classes.join(members, "class").select("class", "doc_id", "size", "family")
+    loose = classes.join(_families(docs, total, n, num, den), "class")
+    members = classes.drop("sketch").join(_tightened(loose, num, den), "class").select("class", "doc_id", "size", "family")
     blocks = members.groupBy("family").agg(F.ceil(F.sum("size") / BLOCK_GRAMS).cast("int").alias("blocks"))
     members = cut(members.join(blocks, "family")
                   .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")), "gram-families")
@@ -338,7 +415,7 @@ def join_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -
     component unless all of its component's are null. No other columns are read.
     """
     slim = docs.select("doc_id", "text")
-    described = describe(slim, n)
+    described = describe(slim, n, num, den)
     roots = linked_classes(slim, described, n, num, den)
     classes = described.filter("size > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     grouped = classes.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from silverline.llm import ngram_join as J
-from silverline.llm.components import components, contract
+from silverline.llm.components import Forest, components
 from silverline.llm.wordhash import WordHasher
 from tests.llm.helpers import SF, docs_of, gram_set, least_of_group
 
@@ -112,9 +112,33 @@ def test_components(spark):
     loose = [tuple(map(int, rng.integers(-50, 50, 2))) for _ in range(60)]
     edges = path + star + loose + [(7000, 7000), (-(2**63), 2**63 - 1)]
     rng.shuffle(edges)
-    a, b = contract(*np.array(edges, np.int64).T)
-    want = dict(zip(a.tolist(), b.tolist(), strict=True))
+    nodes = sorted({n for e in edges for n in e})
+    forest = Forest(len(nodes))
+    for x, y in edges:
+        forest.unite(np.array([nodes.index(x), nodes.index(y)]))
+    alone = {n for n in nodes} - {n for x, y in edges if x != y for n in (x, y)}
+    want = {n: nodes[r] for n, r in zip(nodes, forest.roots(np.arange(len(nodes))), strict=True) if nodes[r] != n and n not in alone}
     df = spark.createDataFrame([(int(x), int(y)) for x, y in edges], "a long, b long").repartition(6)
     assert {r["node"]: r["root"] for r in components(df).collect()} == want
     assert want[300] == 100 and want[2**63 - 1] == -(2**63) and 7000 not in want
     assert components(df.limit(0)).count() == 0
+
+
+def test_sketches_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(5)
+    for _ in range(50):
+        a = np.unique(rng.integers(0, 2**63, rng.integers(1, 300)).astype(np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.8], rng.integers(0, 2**63, rng.integers(0, 40)).astype(np.uint64)]))
+        for bits in (64, 256):
+            x, y = (np.frombuffer(J.sketch(s, bits), np.uint8) for s in (a, b))
+            assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+            assert J.folded(J.sketch(a, 1024), bits) == J.sketch(a, bits)
+
+
+def test_a_passage_that_many_share_links_none(spark, monkeypatch):
+    monkeypatch.setattr(J, "SKETCH_BYTES", 256)
+    rng = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, passage + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randint(20, 80)))) for i in range(120)]
+    rows += [(200 + i, t + " more words") for i, t in rows[:20]]
+    check(spark, rows, 5, 80, 100)
