@@ -37,6 +37,11 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), "(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
+def document_of(path: Column) -> Column:
+    """Id of the document a page carries: the number that ends its path (``/en/12``, ``/en/12/``, ``/en/12.html``), else null."""
+    return F.regexp_extract(path, r"/([0-9]{1,18})(?:\.html)?/?\z", 1).try_cast("long")
+
+
 def domain_of(host: Column) -> Column:
     """The registered domain: the last two labels of the host, without a port."""
     return F.substring_index(F.substring_index(host, ":", 1), ".", -2)
@@ -93,15 +98,18 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
 def judge_pages(pages: DataFrame, labels: DataFrame, rules=RULES, least_good: float = LEAST_GOOD) -> DataFrame:
     """page_id, host, path, rule and verdict of every page.
 
-    The outcome of a page is the ``quality`` label of its id (pages and labels
-    share their ids); null labels are left out, several labels of one id give
-    the page their mean rounded. A null url or one without ``://`` has host and
+    The outcome of a page is the ``quality`` label of the document it carries,
+    named by the number that ends its URL path; a page without one has no
+    outcome. Page ids play no part: they and the documents' are unrelated. Null
+    labels are left out, several labels of one document give its pages their
+    mean rounded. A null url or one without ``://`` has host and
     path empty and is judged as a host of its own. Repeated pages each count.
     Extra columns play no part.
     """
     slim = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    known = labels.groupBy(F.col("doc_id").alias("page_id")).agg(F.round(F.avg("quality")).cast("int").alias("good"))
-    reputation = host_reputation(slim.join(known, "page_id", "left").select("host", "good")) \
+    known = labels.groupBy("doc_id").agg(F.round(F.avg("quality")).cast("int").alias("good"))
+    carried = slim.select("host", document_of(F.col("path")).alias("doc_id"))
+    reputation = host_reputation(carried.join(known, "doc_id", "left").select("host", "good")) \
         .select("host", F.when(F.col("upper") < least_good, "block").otherwise("allow").alias("by_host"))
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     # a join on the host: one row a host on the right, so a hot host only makes its left part large, which AQE splits
