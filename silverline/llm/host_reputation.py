@@ -1,20 +1,28 @@
 """URL filter by empirical-Bayes host reputation.
 
 Labelled page outcomes are counted per host. The rate of good pages is shrunk
-through beta-binomial priors: suffix towards all, registered domain towards its
-suffix, host towards its domain. How strongly each level is shrunk is estimated
+through beta-binomial priors: public suffix towards all, registered domain towards
+its suffix, host towards its domain. How strongly each level is shrunk is estimated
 from the spread at that level. A host is blocked when even the upper bound of
 its posterior stays below the limit. Rules, where they fit, go first.
 """
 
 from __future__ import annotations
 
+import re
+from functools import partial
+from pathlib import Path
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LEAST_GOOD = 0.5      # a host whose rate of good pages is surely below this is blocked
 BOUND_SIGMAS = 2.0
 SUFFIX_STRENGTH = 20.0   # pseudo-counts that pull a suffix towards the overall rate
+MOST_LABELS = 6          # no rule of the list of public suffixes has more
+IP_SUFFIX = "[ip]"       # stands for the suffix of IP addresses
+_IP = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
 
 # The rules of the query, as (verdict, host, path).
 RULES = (
@@ -42,9 +50,37 @@ def document_of(path: Column) -> Column:
     return F.regexp_extract(path, r"/([0-9]{1,18})(?:\.html)?/?\z", 1).try_cast("long")
 
 
-def domain_of(host: Column) -> Column:
-    """The registered domain: the last two labels of the host, without a port."""
-    return F.substring_index(F.substring_index(host, ":", 1), ".", -2)
+def public_suffixes() -> frozenset[str]:
+    """Rules of several labels of the Public Suffix List, in Unicode and as host names carry them (IDNA)."""
+    lines = Path(__file__).with_name("public_suffixes.txt").read_text(encoding="utf-8").splitlines()
+    rules = {line for line in lines if line and not line.startswith("//")}
+    for rule in [r for r in rules if not r.isascii()]:
+        rules.add(".".join(label if label.isascii() else "xn--" + label.encode("punycode").decode() for label in rule.split(".")))
+    return frozenset(rules)
+
+
+def registered(host: str, rules: frozenset[str]) -> tuple[str, str]:
+    """Registered domain and public suffix of a host, without its port; an IP address is whole."""
+    name = host[:host.find("]") + 1] if host.startswith("[") else host.split(":", 1)[0]
+    if name.startswith("[") or _IP.fullmatch(name):
+        return name, IP_SUFFIX
+    labels, long = name.split("."), 1
+    for n in range(min(len(labels), MOST_LABELS), 1, -1):
+        if "!" + ".".join(labels[-n:]) in rules:           # an exception: the suffix is one label shorter
+            long = n - 1
+            break
+        if ".".join(labels[-n:]) in rules or ".".join(["*", *labels[-n:][1:]]) in rules:
+            long = n
+            break
+    return ".".join(labels[-long - 1:]), ".".join(labels[-long:])
+
+
+def _with_domains(rules: frozenset[str], batches):
+    for batch in batches:
+        found = [registered(host, rules) for host in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array([d for d, _ in found], pa.string()), pa.array([s for _, s in found], pa.string())],
+            [*batch.schema.names, "domain", "suffix"])
 
 
 def fitting_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
@@ -79,8 +115,7 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     Only three single-row sums come to the driver.
     """
     hosts = outcomes.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good")) \
-        .withColumn("domain", domain_of(F.col("host"))) \
-        .withColumn("suffix", F.substring_index("domain", ".", -1))
+        .mapInArrow(partial(_with_domains, public_suffixes()), "host string, n long, good long, domain string, suffix string")
     overall = hosts.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
     base = (overall["good"] + 1) / (overall["n"] + 2) if overall["n"] else 0.5
     suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).select(
