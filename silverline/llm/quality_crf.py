@@ -5,8 +5,9 @@ neighbours; a transition matrix ties neighbouring labels. The forward-backward
 marginals of "good", weighted by line length, give the document's quality.
 
 Training uses document labels as labels of all its lines, from a bounded sample
-(``TRAIN_DOCS`` documents, ``TRAIN_LINES`` lines in a row of each). Scoring
-takes whole texts: features are sums over bytes and words of each line.
+of ``TRAIN_DOCS`` whole documents; if these have more than ``DRIVER_LINES``
+lines, each step's gradient is summed on Spark. Scoring takes whole texts too:
+features are sums over bytes and words of each line.
 """
 
 from __future__ import annotations
@@ -20,10 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from silverline.llm.common import cut
 from silverline.llm.wordhash import WordHasher, joined, text_slabs
 
 TRAIN_DOCS = 4000
-TRAIN_LINES = 64
+DRIVER_LINES = 256_000   # lines that the driver learns from by itself
+SLAB_LINES = 32_000      # lines whose gradient a task takes at once
 STEPS = 250
 DECAY = 1e-3            # L2 penalty
 THRESHOLD = 0.3
@@ -128,23 +131,66 @@ class Crf:
         return forward_backward(with_neighbours(features, lines) @ self.weights, lines, self.transition)[0]
 
 
-def fit(features: np.ndarray, lines: np.ndarray, labels: np.ndarray, steps: int = STEPS, decay: float = DECAY) -> Crf:
-    """Maximum likelihood by Adam; ``labels`` (0 or 1) hold for all lines of a text."""
-    x = with_neighbours(features, lines).astype(np.float64)
-    y = np.repeat(labels, lines).astype(np.float64)
+def _gradient(theta: np.ndarray, x: np.ndarray, y: np.ndarray, lines: np.ndarray) -> np.ndarray:
+    """Gradient of the log-likelihood, summed over the texts."""
     inner = np.ones(len(y), bool)
     inner[np.cumsum(lines) - lines] = False
     seen = np.array([[np.sum(inner & (y == 0)), 0], [0, np.sum(inner & (y == 1))]], float)
-    theta = np.zeros(x.shape[1] + 4)
+    p, expected, _ = forward_backward(x @ theta[:-4], lines, theta[-4:].reshape(2, 2))
+    return np.concatenate([x.T @ (y - p), (seen - expected).ravel()])
+
+
+def _climb(gradient, width: int, texts: int, steps: int = STEPS, decay: float = DECAY) -> Crf:
+    """Adam on the mean over ``texts`` of ``gradient(theta)``."""
+    theta = np.zeros(width + 4)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
-        p, expected, _ = forward_backward(x @ theta[:-4], lines, theta[-4:].reshape(2, 2))
-        gradient = np.concatenate([x.T @ (y - p), (seen - expected).ravel()]) / max(len(lines), 1) - decay * theta
-        m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
+        g = gradient(theta) / max(texts, 1) - decay * theta
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g**2
         theta += 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     return Crf(theta[:-4], theta[-4:].reshape(2, 2))
 
 
+def fit(features: np.ndarray, lines: np.ndarray, labels: np.ndarray, steps: int = STEPS, decay: float = DECAY) -> Crf:
+    """Maximum likelihood by Adam; ``labels`` (0 or 1) hold for all lines of a text."""
+    x = with_neighbours(features, lines).astype(np.float64)
+    y = np.repeat(labels, lines).astype(np.float64)
+    return _climb(lambda theta: _gradient(theta, x, y, lines), x.shape[1], len(lines), steps, decay)
+
+
+def _sum_gradients(theta: np.ndarray, width: int, batches):
+    total = np.zeros_like(theta)
+
+    def add(texts, labels):
+        lines = np.array([len(t) for t in texts])
+        x = with_neighbours(np.concatenate(texts), lines).astype(np.float64)
+        total[:] += _gradient(theta, x, np.repeat(labels, lines).astype(np.float64), lines)
+
+    for batch in batches:
+        texts, labels, held = [], [], 0
+        for quality, features in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            texts.append(np.frombuffer(features.as_buffer(), np.float32).reshape(-1, width))
+            labels.append(quality)
+            held += len(texts[-1])
+            if held >= SLAB_LINES:
+                add(texts, labels)
+                texts, labels, held = [], [], 0
+        if texts:
+            add(texts, labels)
+    yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["gradient"])
+
+
+def fit_on_spark(sample: DataFrame, width: int, texts: int, steps: int = STEPS) -> Crf:
+    """``fit`` of rows (quality, features), with a job a step: only sums of gradients come to the driver."""
+    slim = sample.select("quality", "features")
+
+    def gradient(theta):
+        rows = slim.mapInArrow(partial(_sum_gradients, theta, width), "gradient array<double>").collect()
+        return np.sum([r["gradient"] for r in rows], 0)
+
+    return _climb(gradient, 3 * width + 1, texts, steps)
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels are not learnt from: crc32 of the id as text, mod 5, is 0 (null id: of the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT
@@ -157,15 +203,14 @@ def _sample_features(batches):
             features, lines, _ = line_features(texts, hasher)
             at, rows = 0, []
             for n in lines:
-                skip = max(0, (int(n) - TRAIN_LINES) // 2)          # lines in a row from the middle of the text
-                rows.append(features[at + skip:at + min(n, skip + TRAIN_LINES)].tobytes())
+                rows.append(features[at:at + n].tobytes())
                 at += n
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(rows, pa.binary())],
-                                             ["doc_id", "quality", "features"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(lines, pa.int64()), pa.array(rows, pa.binary())],
+                                             ["doc_id", "quality", "lines", "features"])
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Crf:
-    """CRF from at most ``most`` labelled documents that are not held out, chosen by hash.
+    """CRF from all lines of at most ``most`` labelled documents that are not held out, chosen by hash.
 
     Several labels of one document give their mean, rounded. Null labels, ids
     and documents without a label are not used. Without any labelled document
@@ -174,13 +219,15 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Crf:
     known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))) \
         .groupBy("doc_id").agg(F.round(F.avg("quality")).cast("int").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)      # bounds the broadcast
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text") \
-        .mapInArrow(_sample_features, "doc_id long, quality int, features binary").toPandas()
-    if rows.empty:
-        width = 3 * line_features([b""], WordHasher())[0].shape[1] + 1
-        return Crf(np.zeros(width), np.zeros((2, 2)))
-    rows = rows.sort_values(["doc_id", "features"])
+    sample = cut(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
+                 .mapInArrow(_sample_features, "doc_id long, quality int, lines long, features binary"), "crf-sample")
+    size = sample.agg(F.count(F.lit(1)).alias("texts"), F.sum("lines").alias("lines")).first()
     width = line_features([b""], WordHasher())[0].shape[1]
+    if not size["texts"]:
+        return Crf(np.zeros(3 * width + 1), np.zeros((2, 2)))
+    if size["lines"] > DRIVER_LINES:
+        return fit_on_spark(sample, width, size["texts"])
+    rows = sample.select("doc_id", "quality", "features").toPandas().sort_values(["doc_id", "features"])
     parts = [np.frombuffer(x, np.float32).reshape(-1, width) for x in rows["features"]]
     return fit(np.concatenate(parts), np.array([len(p) for p in parts]), rows["quality"].to_numpy())
 

@@ -71,3 +71,23 @@ def test_edges(spark):
     assert len(got) == len(rows) and all(0 <= r["score"] <= 1 for r in got)
     assert Q.quality(docs.limit(0), labels).count() == 0
     assert {r["score"] for r in Q.quality(docs, labels.limit(0)).collect()} == {0.5}
+
+
+def test_all_lines_of_long_documents_are_learnt(spark, monkeypatch):
+    """Lines at the start of long documents, alone in telling bad from good, are learnt; on Spark as on the driver."""
+    good, bad = "Some plain words stand here.", "WIN NOW!!! | $$$ 100% | 777"
+    rows = [(i, "\n".join([good if i % 2 else bad] * 100 + ["same line of text"] * 300)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    calls = []
+    steps = 20
+    climb = Q._climb
+    monkeypatch.setattr(Q, "_climb", lambda g, width, texts, *_: climb(lambda t: calls.append(1) or g(t), width, texts, steps))
+    whole = Q.train(docs, labels)
+    monkeypatch.setattr(Q, "DRIVER_LINES", 1000)
+    summed = Q.train(docs, labels)
+    assert len(calls) == 2 * steps
+    assert np.allclose(whole.weights, summed.weights, atol=1e-6) and np.allclose(whole.transition, summed.transition, atol=1e-6)
+    tests = spark.createDataFrame([(1, good), (2, bad)], "doc_id long, text string")
+    score = {r["doc_id"]: r["_score"] for r in Q.score_documents(tests, whole).collect()}
+    assert score[1] > 0.6 and score[2] < 0.4
