@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from silverline.llm import (conversation_repair, decontaminate, hamming, hard_negatives, host_reputation, line_dedup, mixing, ngram_join,
-                            page_diff, quality_crf, sharding, warc)
+from silverline.llm import (conversation_repair, decontaminate, fast_sketch, hamming, hard_negatives, host_reputation, line_dedup, mixing,
+                            ngram_join, page_diff, quality_crf, sharding, warc)
 from silverline.llm.common import table
 
 
@@ -60,6 +60,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
 
 
+def op13_fast_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fast_sketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -67,7 +71,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_warc_chunks, op2_decontaminate, op3_ring_sharding, op4_mix_sources, op5_line_dedup, op6_quality_crf,
     op7_host_reputation, op8_ngram_join, op9_hamming_top_k,
-    op10_page_diff, op11_hard_negatives, op12_conversation_repair, pipeline)}
+    op10_page_diff, op11_hard_negatives, op12_conversation_repair, op13_fast_sketch, pipeline)}
 
 ORACLE = {
     "op1_warc_chunks": warc.WARC_SQL,
