@@ -4,6 +4,7 @@ Each row gets a hash-random key. Rows are ordered by that key within their
 source; the running sum of words says where the source's budget ends. The sum
 is built in two levels: ranges of the key (a fixed number per source) are
 added up first, then rows within a range, so that no task sorts a source.
+Equal rows are counted before, as they may take each other's place.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_EPOCHS = 2
 KEY_RANGES_LOG2 = 12
+RUN_ROWS = 1 << 16       # equal rows that one task deals out at a time
 
 
 def word_count(text) -> F.Column:
@@ -53,29 +55,54 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
                  .select("source", "source_size", "target")
 
 
-def mix(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST_EPOCHS) -> DataFrame:
-    """``rows`` (doc_id, source, size) with source_size, target and taken.
+def _budgets(rows: DataFrame, key, ties: tuple[str, ...], weights=WEIGHTS, share: float = SHARE, most: int = MOST_EPOCHS) -> tuple[DataFrame, int]:
+    """Groups of equal rows (with source and size) with _n, _key, source_size, target, _epochs and _left; and the largest _n.
 
-    A source is read ``floor(target / source_size)`` times in full and then in
-    key order until the budget is spent; the row at the cut gives the words
-    still missing. ``rows`` is read twice and should be slim.
+    ``_left`` are the words of the budget beyond whole epochs that are left when
+    the group's turn comes. Equal rows are one group, however many they are.
     """
-    keyed = rows.withColumn("_key", hash60(F.col("doc_id"))) \
-                .withColumn("_range", F.shiftright("_key", 60 - KEY_RANGES_LOG2).cast("int"))
-    ranges = keyed.groupBy("source", "_range").agg(F.sum("size").alias("_words"))
+    columns = rows.columns
+    keyed = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_key", key) \
+        .withColumn("_range", F.shiftright("_key", 60 - KEY_RANGES_LOG2).cast("int")).withColumn("_words", F.col("size") * F.col("_n"))
+    keyed = cut(keyed, "mix-groups")
+    largest = keyed.agg(F.max("_n").alias("n")).first()["n"] or 0
+    ranges = keyed.groupBy("source", "_range").agg(F.sum("_words").alias("_words"))
     in_source = Window.partitionBy("source").orderBy("_range")
     offsets = ranges.withColumn("_offset", F.sum("_words").over(in_source) - F.col("_words"))
-    goals = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
+    goals = targets(ranges.groupBy("source").agg(F.sum("_words").alias("source_size")), weights, share, most)
     # the null source joins as any other; the table of ranges has a bounded number of rows a source
     plan = offsets.alias("o").join(goals.alias("g"), F.col("o.source").eqNullSafe(F.col("g.source"))) \
         .select(F.col("o.source").alias("_source"), F.col("_range").alias("_at"), "_offset", "source_size", "target")
-    in_range = Window.partitionBy("source", "_range").orderBy("_key", F.col("doc_id").asc_nulls_first(), "size") \
+    in_range = Window.partitionBy("source", "_range").orderBy("_key", *[F.col(c).asc_nulls_first() for c in (*ties, *columns)]) \
                      .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = keyed.withColumn("_inner", F.sum("size").over(in_range) - F.col("size"))
+    summed = keyed.withColumn("_inner", F.sum("_words").over(in_range) - F.col("_words"))
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    left = F.floor(F.col("target") - full * F.col("source_size")).cast("long") - F.col("_offset") - F.col("_inner")
-    return summed.join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_range") == F.col("_at"))) \
-        .withColumn("taken", full * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), left))) \
+    left = F.floor(F.col("target") - F.col("_epochs") * F.col("source_size")).cast("long") - F.col("_offset") - F.col("_inner")
+    groups = summed.join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_range") == F.col("_at"))) \
+        .withColumn("_epochs", full).withColumn("_left", left)
+    return groups, largest
+
+
+def _one_by_one(groups: DataFrame, count: str, largest: int) -> DataFrame:
+    """Every group as often as ``count`` says, with ``_turn`` from 0; large groups are spread over tasks before they are dealt out."""
+    dealt = groups.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / RUN_ROWS))))
+    last = F.least(F.col(count), (F.col("_run") + 1) * RUN_ROWS) - 1
+    if largest > RUN_ROWS:
+        dealt = dealt.repartition("_key", "_run")
+    return dealt.withColumn("_turn", F.explode(F.sequence(F.col("_run") * RUN_ROWS, last)))
+
+
+def mix(rows: DataFrame, **options) -> DataFrame:
+    """``rows`` (doc_id, source, size) with source_size, target and taken.
+
+    A source is read ``floor(target / source_size)`` times in full and then in
+    key order until the budget is spent; the row at the cut gives the words
+    still missing. ``rows`` should be slim.
+    """
+    groups, largest = _budgets(rows, hash60(F.col("doc_id")), ("doc_id", "size"), **options)
+    turns = _one_by_one(groups, "_n", largest)
+    left = F.col("_left") - F.col("_turn") * F.col("size")
+    return turns.withColumn("taken", F.col("_epochs") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), left))) \
         .select(*rows.columns, "source_size", "target", "taken")
 
 
@@ -97,22 +124,35 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as the mix takes them: a row for every time a document is read, all columns kept.
 
-    The row at a source's cut is read whole if at least half of it is within the
-    budget. Since rows are taken in key order, the cut is one key a source. The
-    table of cuts, a row for each source, is written first, so that its size is
-    known and Spark need not shuffle the texts to join it when it is small.
+    Rows that share a doc_id are read in the order of a hash of all their columns,
+    rows without one in the order of that hash alone; equal rows are counted, and
+    the budget may end among them. The row at a source's cut is
+    read whole if at least half of it is within the budget. Documents without
+    words are not read. The table of cuts has a row for each source; it is
+    written first, so that its size is known and Spark need not shuffle the
+    texts to join it when it is small.
     """
-    taken = mix(sizes_of(docs), **options).withColumn("_key", hash60(F.col("doc_id"))) \
-        .withColumn("_epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int"))
-    extra = (F.col("size") > 0) & ((F.col("taken") - F.col("_epochs") * F.col("size")) * 2 >= F.col("size"))
-    cuts = taken.groupBy(F.col("source").alias("_source")) \
-        .agg(F.max("_epochs").alias("_epochs"), F.max(F.when(extra, F.col("_key"))).alias("_last"))
-    more = F.when((hash60(F.col("doc_id")) <= F.col("_last")) & (word_count(F.col("text")) > 0), 1).otherwise(0)
-    copies = F.when(word_count(F.col("text")) > 0, F.col("_epochs") + more).otherwise(0)
-    return docs.join(cut(cuts, "mix-cuts"), F.col("source").eqNullSafe(F.col("_source"))) \
-        .withColumn("_copies", copies).filter("_copies > 0") \
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))) \
-        .select(*[docs[c] for c in docs.columns])
+    key = F.when(F.col("doc_id").isNull(), hash60(F.col("doc_id"), F.col("_row"))).otherwise(hash60(F.col("doc_id")))
+    place = F.struct("_key", "_row")
+    told = docs.withColumn("_row", F.xxhash64(*docs.columns))
+    sizes = told.select("doc_id", "source", "_row", word_count(F.col("text")).alias("size"))
+    groups, largest = _budgets(sizes, key, ("_row",), **options)
+    more = F.greatest(F.lit(0), F.least(F.col("_n"), F.floor(F.try_divide(F.col("_left"), F.col("size")) + 0.5))).cast("long")
+    groups = groups.withColumn("_more", F.when(F.col("size") > 0, more).otherwise(0))
+    cuts = groups.groupBy(F.col("source").alias("_source")).agg(
+        F.max("_epochs").cast("int").alias("_epochs"), F.max(F.when((F.col("_more") == F.col("_n")) & (F.col("size") > 0), place)).alias("_last"),
+        F.max(F.when((F.col("_more") > 0) & (F.col("_more") < F.col("_n")), F.struct(place.alias("place"), "_more"))).alias("_part"))
+    cuts = cut(cuts, "mix-cuts")
+    rows = told.filter(F.col("text").rlike(WORD_PATTERN)).withColumn("_key", key) \
+        .join(cuts, F.col("source").eqNullSafe(F.col("_source")))
+    copies = F.col("_epochs") + F.when(place <= F.col("_last"), 1).otherwise(0)
+    out = rows.withColumn("_copies", copies).filter("_copies > 0") \
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    if cuts.filter("_part IS NOT NULL").isEmpty():
+        return out
+    # where the budget ends among equal rows, one of them is read as often as is still due
+    part = rows.filter(place == F.col("_part.place")).dropDuplicates(["_key", "_row"]).withColumn("_more", F.col("_part._more"))
+    return out.unionByName(_one_by_one(part, "_more", largest).select(*docs.columns))
 
 
 MIX_SQL = f"""

@@ -34,12 +34,14 @@ from silverline.llm.components import Forest, components
 from silverline.llm.wordhash import WordHasher, joined, mixed, text_slabs
 
 FLUSH_PAIRS = 1 << 20          # (signature, class) pairs a task holds before it passes them on
+PIECE_PAIRS = 1 << 17          # of them in one packed row
 GROUP_PAIRS = 1 << 21          # pairs of one reducing task, about
 SKETCH_BYTES = 1 << 22         # sketches of one block of a loose family, about
 BLOCK_GRAMS = 1 << 18          # n-grams of one block of a family, about
 BUNDLE_GRAMS = 1 << 17         # n-grams of families that share a task, about
 SMALL = 64                     # up to this size, sets are told apart by single n-grams
-BROADCAST_BYTES = 64 << 20     # a larger table of members or losers is shuffled
+BROADCAST_BYTES = 64 << 20     # a larger table of members or kept rows is shuffled
+HELD_BYTES = 200               # of one such row in the hash table of a join, about
 
 _A, _B, _C = (np.uint64(x) for x in (0x8CB92BA72F3D8DD7, 0xA24BAED4963EE407, 0x9FB21C651E98DF25))
 
@@ -147,19 +149,6 @@ def folded(packed: bytes, bits: int) -> bytes:
     return words.tobytes()
 
 
-def _describe(n: int, num: int, den: int, batches):
-    hasher, scheme = WordHasher(), Scheme(num, den)
-    for batch in batches:
-        for part, texts in text_slabs(batch):
-            sets = gram_sets(texts, n, hasher)
-            prints = [fingerprint(grams) for grams in sets]
-            sketches = [sketch(grams, scheme.sketch_bits(scheme.band(len(grams)))) if len(grams) else b"" for grams in sets]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(grams) for grams in sets], pa.int64()), pa.array([p[0] for p in prints], pa.int64()),
-                 pa.array([p[1] for p in prints], pa.int64()), pa.array(sketches, pa.binary())],
-                ["doc_id", "size", "class", "check", "sketch"])
-
-
 def stars(signature: np.ndarray, node: np.ndarray):
     """For pairs in any order: (signatures, their least nodes) and the edges of other nodes to those."""
     order = np.lexsort((node, signature))
@@ -171,47 +160,71 @@ def stars(signature: np.ndarray, node: np.ndarray):
     return signature[begin], node[begin], edges
 
 
-def _sign(n: int, num: int, den: int, groups: int, batches):
-    """Rows (group, packed pairs): signatures with the least class of this task's texts.
+_FOUND = "doc_id long, digest long, size long, class long, check long, sketch binary, pairs binary, edges boolean"
+_FOUND_NAMES = [f.split()[0] for f in _FOUND.split(", ")]
 
-    Edges from other classes of the task to that one go to a negative group.
-    """
-    from pyspark import TaskContext
 
-    own_edges = -1 - TaskContext.get().partitionId() % groups
-    hasher, scheme, seen = WordHasher(), Scheme(num, den), set()
-    signatures, nodes, held = [], [], 0
+def _packed_rows(pairs: np.ndarray, edges: bool) -> pa.RecordBatch:
+    """Rows that hold pairs alone, in pieces of bounded size."""
+    pieces = [pairs[a:a + PIECE_PAIRS].tobytes() for a in range(0, len(pairs), PIECE_PAIRS)]
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([*(pa.nulls(len(pieces), t) for t in kinds), pa.array(pieces, pa.binary()),
+                                       pa.array([edges] * len(pieces), pa.bool_())], _FOUND_NAMES)
 
-    def flush():
-        sign, node, edges = stars(np.concatenate(signatures), np.concatenate(nodes))
-        group = (sign % np.uint64(groups)).astype(np.int64)
-        order = np.argsort(group, kind="stable")
-        pairs = np.stack([sign.view(np.int64), node], 1)[order]
-        cuts = np.searchsorted(group[order], np.arange(groups + 1))
-        keys = [g for g in range(groups) if cuts[g + 1] > cuts[g]]
-        rows = [pairs[cuts[g]:cuts[g + 1]].tobytes() for g in keys]
-        if len(edges):
-            keys, rows = [*keys, own_edges], [*rows, edges.tobytes()]
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(rows, pa.binary())], ["grp", "pairs"])
 
+def _describe(n: int, num: int, den: int, batches):
+    """One reading of the texts: a row for each document, and packed rows of (signature, least class of this task's texts).
+
+    Edges from other classes of the task to that one are packed on their own.
+    """
+    hasher, scheme, seen = WordHasher(), Scheme(num, den), set()
+    signatures, nodes, held = [], [], 0
     for batch in batches:
-        for _, texts in text_slabs(batch):
-            for grams in gram_sets(texts, n, hasher):
-                if not len(grams):
-                    continue
-                name = fingerprint(grams)[0]
-                if name in seen:                    # a copy adds nothing
+        for part, texts in text_slabs(batch):
+            sets = gram_sets(texts, n, hasher)
+            prints = [fingerprint(grams) for grams in sets]
+            sketches = [sketch(grams, scheme.sketch_bits(scheme.band(len(grams)))) if len(grams) else b"" for grams in sets]
+            rows = len(sets)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array([len(grams) for grams in sets], pa.int64()), pa.array([p[0] for p in prints], pa.int64()),
+                 pa.array([p[1] for p in prints], pa.int64()), pa.array(sketches, pa.binary()), pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.bool_())],
+                _FOUND_NAMES)
+            for grams, (name, _) in zip(sets, prints, strict=True):
+                if not len(grams) or name in seen:  # a copy adds nothing
                     continue
                 seen.add(name)
                 sign = scheme.signatures(grams)
                 signatures.append(sign)
                 nodes.append(np.full(len(sign), name, np.int64))
                 held += len(sign)
-                if held >= FLUSH_PAIRS:
-                    yield flush()
-                    signatures, nodes, held = [], [], 0
+            if held >= FLUSH_PAIRS:
+                sign, node, edges = stars(np.concatenate(signatures), np.concatenate(nodes))
+                yield _packed_rows(np.stack([sign.view(np.int64), node], 1), False)
+                yield _packed_rows(edges, True)
+                signatures, nodes, held = [], [], 0
     if held:
-        yield flush()
+        sign, node, edges = stars(np.concatenate(signatures), np.concatenate(nodes))
+        yield _packed_rows(np.stack([sign.view(np.int64), node], 1), False)
+        yield _packed_rows(edges, True)
+
+
+def _deal(groups: int, batches):
+    """Packed pairs dealt to groups by signature; a task's edges go to a negative group."""
+    from pyspark import TaskContext
+
+    own_edges = -1 - TaskContext.get().partitionId() % groups
+    for batch in batches:
+        for row in range(batch.num_rows):
+            pairs = np.frombuffer(batch.column(0)[row].as_py(), np.int64).reshape(-1, 2)
+            if batch.column(1)[row].as_py():
+                keys, rows = [own_edges], [pairs.tobytes()]
+            else:
+                group = (pairs[:, 0].view(np.uint64) % np.uint64(groups)).astype(np.int64)
+                order = np.argsort(group, kind="stable")
+                pairs, cuts = pairs[order], np.searchsorted(group[order], np.arange(groups + 1))
+                keys = [g for g in range(groups) if cuts[g + 1] > cuts[g]]
+                rows = [pairs[cuts[g]:cuts[g + 1]].tobytes() for g in keys]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(rows, pa.binary())], ["grp", "pairs"])
 
 
 def _unpacked(blobs) -> np.ndarray:
@@ -366,37 +379,47 @@ def _with_roots(stars: DataFrame) -> DataFrame:
     return members.unionAll(members.select(F.col("family").alias("class"), "family").distinct())
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, digest (of the text, null as empty) and text: rows are told by the first two."""
+    return docs.select("doc_id", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("digest"), "text")
+
+
 def describe(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """doc_id, size, class and check (128 bits that name the set) and sketch of every document, written once."""
-    return cut(docs.select("doc_id", "text").mapInArrow(
-        partial(_describe, n, num, den), "doc_id long, size long, class long, check long, sketch binary"), "gram-classes")
+    """What one reading of the texts (``keyed``) gives, written once.
+
+    Rows without pairs: doc_id, digest, size, class and check (128 bits that
+    name the set) and sketch of every document. The others hold packed pairs.
+    """
+    return cut(docs.mapInArrow(partial(_describe, n, num, den), _FOUND), "gram-classes")
 
 
-def _families(docs: DataFrame, total: int, n: int, num: int, den: int) -> DataFrame:
+def _families(found: DataFrame, total: int, num: int, den: int) -> DataFrame:
     """(class, family) of the classes that share a part with another."""
-    groups = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-3 * total * (den - num) // num // GROUP_PAIRS))
-    signed = docs.select("text").mapInArrow(partial(_sign, n, num, den, groups), "grp int, pairs binary")
-    met = signed.repartition(groups, "grp").groupBy("grp").applyInArrow(lambda key, table: _meet(key, table), "a long, b long")
+    groups = max(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-3 * total * (den - num) // num // GROUP_PAIRS))
+    dealt = found.filter("pairs IS NOT NULL").select("pairs", "edges").mapInArrow(partial(_deal, groups), "grp int, pairs binary")
+    met = dealt.repartition(groups, "grp").groupBy("grp").applyInArrow(lambda key, table: _meet(key, table), "a long, b long")
     return _with_roots(components(met))
 
 
-def linked_classes(docs: DataFrame, described: DataFrame, n: int, num: int, den: int) -> DataFrame:
+def linked_classes(docs: DataFrame, found: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(class, root): classes that are linked to another, with the least class of their component."""
+    described = found.filter("pairs IS NULL")
     classes = described.filter("size > 0").groupBy("class", "check") \
-        .agg(F.min("doc_id").alias("doc_id"), F.max("size").alias("size"), F.max("sketch").alias("sketch"))
+        .agg(F.min(F.struct("doc_id", "digest")).alias("row"), F.max("size").alias("size"), F.max("sketch").alias("sketch")) \
+        .select("class", "check", "row.*", "size", "sketch")
     total = described.agg(F.sum("size").alias("s")).first()["s"] or 0
-    loose = classes.join(_families(docs, total, n, num, den), "class")
-    members = classes.drop("sketch").join(_tightened(loose, num, den), "class").select("class", "doc_id", "size", "family")
+    loose = classes.join(_families(found, total, num, den), "class")
+    members = classes.drop("sketch").join(_tightened(loose, num, den), "class").select("class", "doc_id", "digest", "size", "family")
     blocks = members.groupBy("family").agg(F.ceil(F.sum("size") / BLOCK_GRAMS).cast("int").alias("blocks"))
     members = cut(members.join(blocks, "family")
                   .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")), "gram-families")
     size = members.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("grams")).first()
-    held = members.select(F.col("doc_id").alias("_id"), "class", "family", "blocks", "block")
-    if size["n"] * 40 <= BROADCAST_BYTES:
+    held = members.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "class", "family", "blocks", "block")
+    if size["n"] * HELD_BYTES <= BROADCAST_BYTES:
         held = F.broadcast(held)
     # small families share a group; a larger one has a group for each pair of its blocks
     bundles, alone = -(-size["grams"] // BUNDLE_GRAMS) + 1, F.col("blocks") == 1
-    rows = docs.select("doc_id", "text").join(held, F.col("doc_id").eqNullSafe(F.col("_id"))) \
+    rows = docs.join(held, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))) \
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .withColumn("bundle", F.when(alone, F.pmod(F.xxhash64("family"), F.lit(bundles))).otherwise(F.col("family"))) \
         .select("bundle", alone.alias("alone"), F.least("block", "_other").alias("low"), F.greatest("block", "_other").alias("high"),
@@ -414,31 +437,43 @@ def join_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -
     repeated rows each stay a row. A null doc_id takes part but names no
     component unless all of its component's are null. No other columns are read.
     """
-    slim = docs.select("doc_id", "text")
-    described = describe(slim, n, num, den)
-    roots = linked_classes(slim, described, n, num, den)
-    classes = described.filter("size > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
+    described = _with_components(keyed(docs), n, num, den)
+    return described.select("doc_id", F.col("size").alias("n_shingles"),
+                            F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def _with_components(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """doc_id, digest, size, class, check of ``keyed`` rows, with their component: its root, least doc_id and first row."""
+    found = describe(docs, n, num, den)
+    described = found.filter("pairs IS NULL").select("doc_id", "digest", "size", "class", "check")
+    roots = linked_classes(docs, found, n, num, den)
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")
+    classes = described.filter("size > 0").groupBy("class", "check").agg(F.min("doc_id").alias("least"), F.min(first).alias("first"))
     grouped = classes.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
-    named = grouped.groupBy("root").agg(F.min("least").alias("component"))
-    of_class = grouped.join(named, "root").select("class", "component")
-    return described.join(of_class, "class", "left") \
-        .select("doc_id", F.col("size").alias("n_shingles"),
-                F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+    named = grouped.groupBy("root").agg(F.min("least").alias("component"), F.min("first").alias("first"))
+    return described.join(grouped.select("class", "check", "root").join(named, "root"), ["class", "check"], "left")
 
 
 def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``docs`` with one document of each linked group, that with the least doc_id; all columns kept.
+    """``docs`` with one row of each linked group; all columns kept.
 
-    A document is told by its doc_id: rows that share one stay or go together,
-    and of rows with equal doc_id and text one stays. Rows without a doc_id stay,
-    one of each text.
+    It is the row with the least doc_id, null last, and of rows that share it the
+    one whose text has the least digest. Linked rows go whatever their doc_id is,
+    and rows that share a doc_id but are not linked all stay. Of rows without
+    words one of each doc_id and text stays.
     """
-    grouped = cut(join_documents(docs, n, num, den), "gram-groups")
-    gone = grouped.filter("doc_id <> component_id").select("doc_id").distinct()
-    if gone.count() * 16 <= BROADCAST_BYTES:
-        gone = F.broadcast(gone)
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = grouped.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    if not repeated.isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "text"])
-    return kept
+    grouped = _with_components(keyed(docs), n, num, den)
+    stays = (F.col("size") == 0) | (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest")))
+    keys = cut(grouped.groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
+               .agg(F.count(F.lit(1)).alias("_rows"), F.bool_or(stays).alias("_stays")), "gram-rows")
+
+    def told(rows: DataFrame, some: DataFrame, how: str) -> DataFrame:
+        some = F.broadcast(some) if some.count() * HELD_BYTES <= BROADCAST_BYTES else some
+        return rows.join(some, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_digest")), how)
+
+    rows = told(docs.withColumn("_text", F.xxhash64(F.coalesce(F.col("text"), F.lit("")))), keys.filter("NOT _stays"), "left_anti")
+    repeated = keys.filter("_stays AND _rows > 1")
+    if not repeated.isEmpty():                      # only rows that are there more than once are brought together
+        again = told(rows, repeated, "left_semi").dropDuplicates(["doc_id", "_text"])
+        rows = told(rows, repeated, "left_anti").unionByName(again)
+    return rows.select(*docs.columns)

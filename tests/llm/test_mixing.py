@@ -75,3 +75,26 @@ def test_rows_follow_the_words_taken(spark):
     for key, n in taken.items():
         if key[0] != 302:                   # two rows of one key
             assert copies[key] == (int(n / key[1] + 0.5) if key[1] else 0)
+
+
+def test_rows_without_a_doc_id_stay_within_the_budget(spark):
+    """580 of 600 rows of a source have no doc_id, as many again are equal rows of another source."""
+    rows = [(None, f"t{i} " * (1 + i % 20), "a") for i in range(580)] + [(i, "x " * 10, "a") for i in range(20)] \
+        + [(7, "y " * 10, "b")] * 580 + [(i, "z " * 9, "b") for i in range(100, 120)] + [(8, "z " * 11, "c")] * 5
+    docs = docs_of(spark, rows)
+    goal = plain_targets({s: sum(len(words(t)) for _, t, x in rows if x == s) for s in "abc"})
+    for most in (2, 1):
+        taken = defaultdict(int)
+        for r in M.mixed_rows(docs, most=most, share=0.7 if most == 1 else 1.5).collect():
+            taken[r["source"]] += len(words(r["text"]))
+        want = goal if most == 2 else {r["source"]: r["target"] for r in M.targets(
+            M.sizes_of(docs).groupBy("source").agg(F.sum("size").alias("source_size")), share=0.7, most=1).collect()}
+        assert all(abs(taken[s] - want[s]) <= 20 for s in "abc"), (taken, want)
+
+
+def test_large_groups_of_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(M, "RUN_ROWS", 7)
+    rows = [(None, "a b c", "s")] * 100 + [(1, "d e", "s"), (2, "f", "t")]
+    got = M.mix(M.sizes_of(docs_of(spark, rows)), share=0.6, most=1).groupBy("source").agg(F.sum("taken").alias("n"), F.max("target").alias("t"),
+                                                                                          F.count("*").alias("rows")).collect()
+    assert sorted((r["source"], r["n"], r["rows"]) for r in got) == sorted((r["source"], int(r["t"] + 1e-9), {"s": 101, "t": 1}[r["source"]]) for r in got)

@@ -74,7 +74,7 @@ def test_edges(spark):
     assert got == sorted([("None", 2, "5"), ("5", 2, "5"), ("5", 2, "5"), ("None", 1, "None"), ("7", 1, "7")])
     assert J.join_documents(odd.limit(0)).count() == 0
     kept = J.one_of_each(odd, 3, 90, 100)
-    assert kept.columns == odd.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["5", "7", "None", "None"]
+    assert kept.columns == odd.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["5", "7", "None"]
 
 
 def test_one_of_each(spark):
@@ -142,3 +142,20 @@ def test_a_passage_that_many_share_links_none(spark, monkeypatch):
     rows = [(i, passage + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randint(20, 80)))) for i in range(120)]
     rows += [(200 + i, t + " more words") for i, t in rows[:20]]
     check(spark, rows, 5, 80, 100)
+
+
+def test_one_of_each_told_by_text_as_well(spark):
+    a, b = "one two three four five six seven eight nine ten", "quite another text that nothing else in here repeats at all"
+    c = "null rows that are linked although none of them has a name of its own to go by"
+    rows = [(3, a), (5, a), (5, b), (None, c), (None, c), (None, c + " x"), (9, c), (None, ""), (None, ""), (11, None), (11, "")]
+    got = [(r["doc_id"], r["text"] or "") for r in J.one_of_each(docs_of(spark, rows), 2, 80, 100).collect()]
+    assert sorted(got, key=str) == sorted([(3, a), (5, b), (9, c), (None, ""), (11, "")], key=str)
+    only_null = J.one_of_each(docs_of(spark, [(None, c), (None, c), (None, c + " x"), (None, b)]), 2, 80, 100).collect()
+    assert len(only_null) == 2 and b in {r["text"] for r in only_null}
+
+
+def test_many_rows_without_a_doc_id(spark):
+    rows = [(None, f"a{i} b{i} c{i} d{i} e{i} f{i}") for i in range(400)] + [(None, f"a{i} b{i} c{i} d{i} e{i} f{i} ") for i in range(40)]
+    got = J.join_documents(docs_of(spark, rows)).collect()
+    assert len(got) == 440 and {r["component_id"] for r in got} == {None}
+    assert len(J.one_of_each(docs_of(spark, rows)).collect()) == 400

@@ -59,7 +59,7 @@ def test_pages(spark):
     got = {r["page_id"]: r for r in P.extract(pages).collect()}
     assert len(got) == len(rows) and all(r["n_chars"] == len(r["text"]) for r in got.values())
     assert got[1]["text"] == "one\n\nuno" and got[2]["text"] == "two\n\ndue"
-    assert got[3]["text"] == "Top line\n\nthree\n\ntre\n\nBottom & line"        # its only neighbours are in other folders and paired
+    assert got[3]["text"] == "three\n\ntre"        # its nearest neighbours on the host are in other folders
     assert got[4]["text"] == "Top line\n\nfour\n\nquattro\n\nBottom & line"
     assert got[5]["text"].startswith("Head & line\n\nOne two") and got[6]["text"] == got[7]["text"] == "" and got[None]["text"] == "x"
     assert got[8]["text"] == got[9]["text"] == "Same" and got[10]["n_chars"] == 999_999
