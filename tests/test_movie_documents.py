@@ -59,7 +59,7 @@ def test_movie_documents_end_to_end(spark):
     assert store.table("silver_movie").columns == [c for c in silver.columns if c != "genres"]
     assert sorted(tuple(r) for r in store.table("genre_dim").collect()) == [(1, "Drama"), (2, "Crime"), (3, "Comedy")]
     assert sorted(tuple(r) for r in store.table("bridge").collect()) == [(1, 1), (1, 2), (2, 2), (4, 3)]
-    assert store.table("language").count() == 4                          # keyed records only
+    assert store.table("language").count() == 5                          # with and without a typed key
 
     statuses = {r.status: r["count"] for r in store.bronze().groupBy("status").count().collect()}
     assert statuses == {"loaded": 2, "quarantined": 4}
