@@ -145,7 +145,7 @@ def _sign(groups: int, batches):
 
 def _edges(found: list[np.ndarray]) -> pa.Table:
     rows = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-    return pa.table({"a": pa.array(rows[:, 0], pa.int64()), "b": pa.array(rows[:, 1], pa.int64())})
+    return pa.table([pa.array(rows[:, 0], pa.int64()), pa.array(rows[:, 1], pa.int64())], ["a", "b"])
 
 
 def _meet(table: pa.Table) -> pa.Table:
@@ -167,12 +167,12 @@ def _with_roots(found: DataFrame) -> DataFrame:
 
 
 def _linked_in(nodes: np.ndarray, families: np.ndarray, roots: np.ndarray, left: np.ndarray, right: np.ndarray, near) -> list[np.ndarray]:
-    """Edges of a forest over the links between left and right rows of each family; equal roots are linked before.
+    """(root, new root) of the trees that links between left and right rows of a family hang up; equal roots are one tree before.
 
-    ``near(i, rows)`` says which of the rows are linked to row i.
+    ``near(i, rows)`` says which of the rows are linked to row i. A tree's root is its least row.
     """
     found = []
-    order = np.lexsort((nodes, families))
+    order = np.lexsort((roots, nodes, families))
     for members in np.split(order, np.flatnonzero(np.diff(families[order])) + 1):
         forest = Forest(len(members))
         at = np.argsort(roots[members], kind="stable")
@@ -182,14 +182,14 @@ def _linked_in(nodes: np.ndarray, families: np.ndarray, roots: np.ndarray, left:
         for i in np.flatnonzero(left[members]):
             up = forest.roots(everyone)
             open_ = targets[up[targets] != up[i]]
-            if not len(open_):
-                if (up == up[0]).all():
-                    break
-                continue
-            hit = open_[near(members[i], members[open_])]
-            moved = forest.unite(np.append(hit, i))
-            if len(moved):
-                found.append(np.stack([nodes[members[moved]], nodes[members[forest.roots(moved)]]], 1))
+            if len(open_):
+                forest.unite(np.append(open_[near(members[i], members[open_])], i))
+            elif (up == up[0]).all():
+                break
+        moved = np.stack([roots[members], roots[members[forest.roots(everyone)]]], 1)
+        moved = np.unique(moved[moved[:, 0] != moved[:, 1]], axis=0)
+        if len(moved):
+            found.append(moved)
     return found
 
 
@@ -233,7 +233,7 @@ def _near_sets(n: int, num: int, den: int, table: pa.Table) -> pa.Table:
 
 def _within_families(members: DataFrame, weight: str, block_weight: int, attach: Callable[[DataFrame], DataFrame],
                      link: Callable[[pa.Table], pa.Table], tag: str) -> DataFrame:
-    """(node, root) of the components of links within families.
+    """(node, root) of what is linked within families, roots being the least nodes and left out.
 
     ``members`` is slim: family (its least node), node and a weight. ``attach``
     brings rows (node, ...) their payload, written once; ``link`` finds links
@@ -243,35 +243,45 @@ def _within_families(members: DataFrame, weight: str, block_weight: int, attach:
                     int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     fine = max(block_weight // FINEST, min(block_weight, total // parts), 1)
 
-    def dealt(rows: DataFrame, size: int, count: str) -> DataFrame:
-        return rows.groupBy("family").agg(F.ceil(F.sum(weight) / size).cast("int").alias(count))
+    def told(rows: DataFrame, some: DataFrame, size: int, count: str, how: str) -> DataFrame:
+        """``rows`` with the number of blocks that the family's rows in ``some`` make."""
+        sums = cut(some.groupBy("family").agg(F.ceil(F.sum(weight) / size).cast("int").alias(count))
+                   .filter(F.col(count) > (1 if how == "left" else 0)), f"{tag}-{count}")
+        return rows.join(F.broadcast(sums) if sums.count() <= BROADCAST_ROWS else sums, "family", how)
 
     def block_of(count: str, salt: int):
         return F.pmod(F.xxhash64("node", F.lit(salt)), F.col(count)).cast("int")
 
-    placed = cut(members.join(dealt(members, fine, "blocks"), "family").withColumn("block", block_of("blocks", 0)), f"{tag}-places")
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    placed = told(members, members, fine, "blocks", "left").fillna(1, ["blocks"])
+    placed = cut(placed.withColumn("block", block_of("blocks", 0)), f"{tag}-places")
     payload = cut(attach(placed.select("node")), f"{tag}-payload")
     bundles, alone = BUNDLE_SHARE * total // fine + 1, F.col("blocks") == 1
-    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
     hubs = placed.filter((F.col("node") == F.col("family")) & (F.col("blocks") > 1)) \
         .withColumn("_to", every("blocks")).filter("_to <> block").withColumn("block", F.col("_to")).drop("_to")
     first = placed.unionByName(hubs).join(payload, "node") \
         .withColumn("bundle", F.when(alone, F.pmod(F.xxhash64("family"), F.lit(bundles))).otherwise(F.col("family"))) \
         .withColumns({"alone": alone, "root": F.col("node"), "left": F.lit(True), "right": F.lit(True)})
-    edges = cut(first.groupBy("alone", "bundle", "block").applyInArrow(lambda table: link(table), "a long, b long"), f"{tag}-links")
-    found = cut(components(edges), f"{tag}-found")
-    # what is not linked to the least class of a dealt family, and has not met all of it
+    # a row is in one block, and the least class of its family with it: what is linked to that has it as root
+    found = first.groupBy("alone", "bundle", "block").applyInArrow(lambda table: link(table), "a long, b long")
+    found = cut(found.toDF("node", "root"), f"{tag}-found")
     rooted = placed.filter("blocks > 1").select("family", "node", weight).join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    strangers = cut(rooted.filter("root <> family"), f"{tag}-strangers")
+    rooted = cut(rooted, f"{tag}-rooted")
+    strangers = rooted.filter("root <> family")
     if strangers.isEmpty():
         return found
-    rooted = rooted.join(dealt(strangers, block_weight, "others"), "family").join(dealt(rooted, block_weight, "blocks"), "family")
-    rooted = cut(rooted.withColumns({"block": block_of("blocks", 1), "other": block_of("others", 2)}), f"{tag}-rooted")
+    rooted = told(told(rooted, strangers, block_weight, "others", "inner"), rooted, block_weight, "blocks", "inner")
+    rooted = cut(rooted.withColumns({"block": block_of("blocks", 1), "other": block_of("others", 2)}), f"{tag}-strangers")
     met = rooted.withColumn("other", every("others")).withColumns({"left": F.lit(False), "right": F.lit(True)})
     asked = rooted.filter("root <> family").withColumn("block", every("blocks")).withColumns({"left": F.lit(True), "right": F.lit(False)})
     second = met.unionByName(asked).join(payload, "node").groupBy("family", "block", "other") \
         .applyInArrow(lambda table: link(table), "a long, b long")
-    return components(edges.unionByName(second))
+    joined = components(second).withColumnsRenamed({"node": "_root", "root": "_new"})
+    trees = found.unionAll(joined.select(F.col("_root").alias("node"), F.col("_root").alias("root")))
+    return trees.join(joined, F.col("root") == F.col("_root"), "left").select("node", F.coalesce("_new", "root").alias("root")) \
+        .filter("node <> root").distinct()
 
 
 def _texts(docs: DataFrame, repeated: DataFrame, held: DataFrame) -> DataFrame:
