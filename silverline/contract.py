@@ -137,9 +137,7 @@ class TablePaths:
     @property
     def bridge(self) -> str: return f"{self.root}/silver/bridge"
     @property
-    def commits(self) -> str: return f"{self.root}/_commits"
-    @property
-    def ingested_files(self) -> str: return f"{self.root}/_ingested_files"
+    def batches(self) -> str: return f"{self.root}/batches"
     @property
     def checkpoints(self) -> str: return f"{self.root}/_checkpoints"
     @property

@@ -8,11 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..contract import Contract
 
 CORRUPT = "_corrupt_record"
 PARSED = "_parsed"
+WRAPPED = "_wrapped"
+SINGLE = "_single"
+RECORD, END = "_record", "_end_of_record"     # fields of the wrapping object; no line should hold the second name
 
 # Fixed names of the record-level quarantine reasons, in the order they are listed.
 MALFORMED = "malformed"
@@ -38,6 +42,30 @@ def parse_json(value: Column | str, ddl: str, keep_corrupt: bool = True) -> Colu
     return F.from_json(value, f"{ddl}, {CORRUPT} STRING", {"columnNameOfCorruptRecord": CORRUPT})
 
 
+def parse_wrapped(value: Column | str, ddl: str) -> Column:
+    """The line as a member of an object that one more member ends, parsed in one pass.
+
+    A line that is one JSON value and fits the schema gives both members; of any
+    other line the object is broken, corrupt or ends before its second member.
+    """
+    value = F.col(value) if isinstance(value, str) else value
+    text = F.concat(F.lit(f'{{"{RECORD}":'), value, F.lit(f',"{END}":0}}'))
+    return F.from_json(text, f"{RECORD} STRUCT<{ddl}>, {END} INT, {CORRUPT} STRING", {"columnNameOfCorruptRecord": CORRUPT})
+
+
+def is_single(wrapped: Column, value: Column | str) -> Column:
+    """True if the line is exactly one JSON object that fits the schema."""
+    value = F.col(value) if isinstance(value, str) else value
+    whole = wrapped[RECORD].isNotNull() & wrapped[END].isNotNull() & wrapped[CORRUPT].isNull() & ~F.contains(value, F.lit(END))
+    return F.coalesce(whole, F.lit(False))
+
+
+def parse_line(wrapped: Column, single: Column, value: Column | str, ddl: str) -> Column:
+    """The struct that ``parse_json`` gives, taken from the wrapped line; only lines with something odd are parsed again."""
+    fields = [wrapped[RECORD][name].alias(name) for name in StructType.fromDDL(ddl).fieldNames()]
+    return F.when(single, F.struct(*fields, F.lit(None).cast("string").alias(CORRUPT))).otherwise(parse_json(value, ddl))
+
+
 def parse_nested(text: Column | str, ddl: str) -> Column:
     """Re-parse a JSON array kept as text (e.g. ``genres``) into an array of structs."""
     text = F.col(text) if isinstance(text, str) else text
@@ -85,8 +113,8 @@ def bad_nested(text: Column, ddl: str) -> Column:
     return text.isNotNull() & F.coalesce(F.exists(parsed, lambda g: g.isNull() | g["id"].isNull()), F.lit(True))
 
 
-def record_checks(contract: Contract, value: Column | str = "value", parsed: str = PARSED) -> list[tuple[str, Column]]:
-    """(reason, failing condition) for the record-level checks.
+def record_checks(contract: Contract, value: Column | str = "value", parsed: str = PARSED, single: str | None = None) -> list[tuple[str, Column]]:
+    """(reason, failing condition) for the record-level checks; ``single`` names a column that is true for lines known to be one value.
 
     Conditions are over the line and its parsed struct ``parsed`` so they can be
     evaluated in the same projection that types the record.
@@ -96,7 +124,7 @@ def record_checks(contract: Contract, value: Column | str = "value", parsed: str
     malformed = s.isNull() | s[CORRUPT].isNotNull()
     checks = [
         (MALFORMED, malformed),
-        (TRAILING_DATA, ~malformed & more_than_one_value(value)),
+        (TRAILING_DATA, F.when(F.col(single) if single else F.lit(False), F.lit(False)).otherwise(~malformed & more_than_one_value(value))),
         (MISSING_KEY, s.isNotNull() & key.isNull()),
         (BAD_KEY, key.isNotNull() & to_int_safe(key, contract.key_type).isNull()),
     ]

@@ -59,6 +59,21 @@ def _with_key(df: DataFrame, on: str) -> DataFrame:
 STATUSES = (STATUS_NEW, STATUS_QUARANTINED, STATUS_LOADED)
 
 
+def keyed_updates(updates: DataFrame, status: str | None = None, on: str = "record_key") -> DataFrame:
+    """One row for each key of the updates, with ``_new_status``; two different statuses for one key, or one that is
+    not a bronze status, fail the job. NULL keys are left out. Aggregates map-side before the shuffle."""
+    updates = _with_key(updates, on).where(F.col(on).isNotNull())
+    if status is not None:
+        return updates.select(on).distinct().withColumn("_new_status", F.lit(status))
+    names = F.array(*[F.lit(s) for s in STATUSES])
+    code = F.array_position(names, F.col("status")).cast("int")
+    return (updates.select(on, F.coalesce(code, F.lit(0)).alias("_code")).groupBy(on)
+            .agg(F.min("_code").alias("_lo"), F.max("_code").alias("_hi"))
+            .select(on, F.when((F.col("_lo") == F.col("_hi")) & (F.col("_lo") > 0), F.try_element_at(names, F.col("_lo")))
+                    .otherwise(F.raise_error(F.concat(F.lit("conflicting statuses for key "), F.col(on))))
+                    .alias("_new_status")))
+
+
 def apply_status(bronze: DataFrame, updates: DataFrame, status: str | None = None,
                  on: str = "record_key") -> DataFrame:
     """Matched-row update: bronze rows whose key equals an update's get its status.
@@ -66,22 +81,10 @@ def apply_status(bronze: DataFrame, updates: DataFrame, status: str | None = Non
     Unmatched rows keep their status, no row is added or removed, NULL keys
     never match and every duplicate of a matched key is updated. ``updates``
     needs ``value`` (or the key) and, unless ``status`` is given, a ``status``
-    column. It is reduced to one row per key before the join (map-side
-    partial aggregation); two different statuses for one key, or one that is
-    not a bronze status, fail the job.
+    column. It is reduced to one row per key before the join (``keyed_updates``).
     """
-    updates = _with_key(updates, on).where(F.col(on).isNotNull())
+    per_key = keyed_updates(updates, status, on)
     bronze = _with_key(bronze, on)
-    if status is not None:
-        per_key = updates.select(on).distinct().withColumn("_new_status", F.lit(status))
-    else:
-        names = F.array(*[F.lit(s) for s in STATUSES])
-        code = F.array_position(names, F.col("status")).cast("int")
-        per_key = (updates.select(on, F.coalesce(code, F.lit(0)).alias("_code")).groupBy(on)
-                   .agg(F.min("_code").alias("_lo"), F.max("_code").alias("_hi"))
-                   .select(on, F.when((F.col("_lo") == F.col("_hi")) & (F.col("_lo") > 0), F.try_element_at(names, F.col("_lo")))
-                           .otherwise(F.raise_error(F.concat(F.lit("conflicting statuses for key "), F.col(on))))
-                           .alias("_new_status")))
     joined = bronze.join(per_key, on=on, how="left")
     return joined.select(*[F.coalesce(F.col("_new_status"), F.col("status")).alias("status")
                            if c == "status" else F.col(c) for c in bronze.columns])

@@ -9,13 +9,13 @@ from ..contract import Contract
 from ..functions.parsing import parse_nested
 
 
-def silver_wide(clean: DataFrame, contract: Contract, keep_key: bool = True) -> DataFrame:
+def silver_wide(clean: DataFrame, contract: Contract, keep_key: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed columns in contract order without ``value``; ``record_key`` last when kept
-    (it lets a later status write-back or re-run find the bronze line)."""
+    (it lets a later status write-back or re-run find the bronze line), then the columns in ``keep``."""
     if contract.partition_expr:
         clean = clean.withColumn(contract.partition_column, F.expr(contract.partition_expr))
     cols = contract.silver_fields() + (["record_key"] if keep_key and "record_key" in clean.columns else [])
-    return clean.select(*cols)
+    return clean.select(*cols, *keep)
 
 
 def silver_movie(wide: DataFrame, contract: Contract) -> DataFrame:
@@ -23,8 +23,8 @@ def silver_movie(wide: DataFrame, contract: Contract) -> DataFrame:
     return wide.drop(contract.nested_field)
 
 
-def exploded_genres(parsed: DataFrame, contract: Contract) -> DataFrame:
-    """One row per (record, nested element): source id, typed key, ``genres_id``, ``name``.
+def exploded_genres(parsed: DataFrame, contract: Contract, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per (record, nested element): source id, typed key, ``genres_id``, ``name`` and the columns in ``keep``.
 
     NULL or empty arrays give no row; elements with a NULL id or name are
     dropped, as ``na.drop`` does on the source rows. Records whose id does not
@@ -33,8 +33,8 @@ def exploded_genres(parsed: DataFrame, contract: Contract) -> DataFrame:
     """
     key = contract.key_column
     g = (parsed.where(F.col("source_id").isNotNull())
-         .select("source_id", key, F.explode(parse_nested(contract.nested_field, contract.nested_ddl)).alias("g"))
-         .select("source_id", key, F.col("g.id").alias("genres_id"), F.col("g.name").alias("name")))
+         .select("source_id", key, *keep, F.explode(parse_nested(contract.nested_field, contract.nested_ddl)).alias("g"))
+         .select("source_id", key, F.col("g.id").alias("genres_id"), F.col("g.name").alias("name"), *keep))
     return g.na.drop(how="any", subset=["genres_id", "name"])
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..contract import Contract
-from ..functions.parsing import bad_nested, parse_json, to_date_safe, to_int_safe
+from ..functions.parsing import bad_nested, more_than_one_value, parse_json, to_date_safe, to_int_safe
 
 
 def count_rows(df: DataFrame) -> DataFrame:
@@ -104,6 +104,52 @@ def conformance(lines: DataFrame, contract: Contract, value: str = "value") -> D
     return totals.select(F.inline(F.array(*rows)))
 
 
+# Variant types that a declared type takes; a decimal is any of them, whatever its digits.
+FITTING = {"double": ("DOUBLE", "DECIMAL", "BIGINT"), "bigint": ("BIGINT",), "int": ("BIGINT",), "string": ("STRING",), "boolean": ("BOOLEAN",)}
+
+
+def _variant_type(ddl_type: str) -> str:
+    """A declared type as the variant functions write it, decimals without digits."""
+    return ddl_type.upper().replace("STRUCT<", "OBJECT<")
+
+
+def contract_drift(lines: DataFrame, contract: Contract, value: str = "value") -> DataFrame:
+    """What the lines hold against what the contract declares, read without a schema: column, expected, found, problem, n_lines.
+
+    Every top-level field of every line counts under the type it has there:
+    ``problem`` is ``none`` if the contract's type takes it, ``type`` if not and
+    ``unexpected`` if the contract has no such field. Fields of the contract that
+    lines lack are ``missing``, JSON nulls ``null``; lines that are no JSON
+    object are ``malformed`` and lines with more after it ``trailing_data``, both
+    as column ``*``. Nested text is held against the type its elements are parsed with.
+    """
+    document = F.try_parse_json(value)
+    kind = F.when(F.coalesce(~F.schema_of_variant(document).startswith("OBJECT<"), F.lit(True)), "malformed") \
+        .when(more_than_one_value(value), "trailing_data").otherwise("record")
+    read = lines.select(document.alias("document"), kind.alias("kind"))
+    present = read.where("kind = 'record'").lateralJoin(lines.sparkSession.tvf.variant_explode(F.col("document").outer())) \
+        .select(F.col("key").alias("column"), F.schema_of_variant("value").alias("found"))
+    present = present.withColumn("found", F.regexp_replace("found", r"DECIMAL\(\d+,\d+\)", "DECIMAL"))
+    # a row for each field and type, and one for the records: small, whatever the lines
+    counts = present.groupBy("column", "found").agg(F.count(F.lit(1)).alias("n_lines"))
+    odd = read.groupBy("kind").agg(F.count(F.lit(1)).alias("n_lines"))
+    declared = StructType.fromDDL(contract.source_ddl).fields
+    expected = [(f.name, _variant_type(contract.nested_ddl if f.name == contract.nested_field else f.dataType.simpleString().upper()),
+                 [_variant_type(contract.nested_ddl), "ARRAY<VOID>"] if f.name == contract.nested_field
+                 else list(FITTING.get(f.dataType.simpleString(), (f.dataType.simpleString().upper(),)))) for f in declared]
+    wanted = lines.sparkSession.createDataFrame(expected, "column STRING, expected STRING, fitting ARRAY<STRING>")
+    problem = F.when(F.col("expected").isNull(), "unexpected").when(F.col("found") == "VOID", "null") \
+        .when(F.array_contains("fitting", F.col("found")), "none").otherwise("type")
+    seen = counts.join(F.broadcast(wanted), "column", "left").select("column", "expected", "found", problem.alias("problem"), "n_lines")
+    held = counts.groupBy("column").agg(F.sum("n_lines").alias("n_held"))
+    missing = wanted.withColumn("kind", F.lit("record")).join(odd, "kind").join(held, "column", "left") \
+        .select("column", "expected", F.lit(None).cast("string").alias("found"), F.lit("missing").alias("problem"),
+                (F.col("n_lines") - F.coalesce("n_held", F.lit(0))).alias("n_lines")).where("n_lines > 0")
+    others = odd.where("kind <> 'record'").select(F.lit("*").alias("column"), F.lit(None).cast("string").alias("expected"),
+                                                  F.lit(None).cast("string").alias("found"), F.col("kind").alias("problem"), "n_lines")
+    return seen.unionByName(missing).unionByName(others)
+
+
 def schema_diff(spark: SparkSession, df: DataFrame, expected_ddl: str, **kw) -> DataFrame:
     """The schema differences as a small DataFrame (schemas are metadata, not data)."""
     rows = schema_differences(df.schema, expected_ddl, **kw)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..contract import Contract
 from ..functions.ingest import STATUS_QUARANTINED
-from ..functions.parsing import (CORRUPT, PARSED, parse_json, reasons_column, record_checks,
+from ..functions.parsing import (CORRUPT, PARSED, SINGLE, WRAPPED, is_single, parse_line, parse_wrapped, reasons_column, record_checks,
                                  rule_failures, typed_columns)
 from ..functions.repair import apply_repairs
 from .bronze import status_of
@@ -23,13 +23,17 @@ def parse_records(df: DataFrame, contract: Contract, value: str = "value") -> Da
     Output: the input columns, ``source_id`` (the key as the source has it), the
     typed fields in source order, then ``_checks`` (record-level reasons:
     malformed, trailing data, missing/bad key, bad date, bad nested text).
-    The JSON is parsed once: the parse sits in its own projection, which
-    Catalyst does not inline into the several expressions that read it.
+    A line is parsed once, and the same pass says whether it is one JSON value:
+    the parse sits in its own projection, which Catalyst does not inline into the
+    several expressions that read it. Lines that are not, or do not fit the
+    schema, are parsed again to name the reason.
     """
     keep = [F.col(c) for c in df.columns]
-    parsed = df.select(*keep, parse_json(value, contract.source_ddl).alias(PARSED))
+    wrapped = df.select(*keep, parse_wrapped(value, contract.source_ddl).alias(WRAPPED)) \
+        .select("*", is_single(F.col(WRAPPED), value).alias(SINGLE))
+    parsed = wrapped.select(*keep, SINGLE, parse_line(F.col(WRAPPED), F.col(SINGLE), value, contract.source_ddl).alias(PARSED))
     fields = [F.col(f"{PARSED}.{name}").alias(name) for name in contract.source_fields]
-    flat = parsed.select(*keep, *fields, reasons_column(record_checks(contract, value)).alias("_checks"))
+    flat = parsed.select(*keep, *fields, reasons_column(record_checks(contract, value, single=SINGLE)).alias("_checks"))
     return flat.select(*keep, F.col(contract.key_field).alias("source_id"), *typed_columns(contract), "_checks")
 
 

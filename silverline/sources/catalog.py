@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
@@ -38,11 +39,30 @@ def register_external(spark: SparkSession, name: str, path: str, fmt: str = "par
     return spark.table(name)
 
 
-def register_segments(spark: SparkSession, name: str, path: str, ddl: str, partition_by: list[str]) -> None:
-    """(Re-)register ``name`` over a partitioned folder with a declared schema; the folder may not exist yet."""
+def ensure_table(spark: SparkSession, name: str, path: str, ddl: str, partition_by: list[str],
+                 buckets: tuple[list[str], int] | None = None) -> str:
+    """A Parquet table of the catalog at ``path``, partitioned and, if ``buckets`` names columns and a number, bucketed and sorted.
+
+    A catalog that does not know the table yet, as that of a new session, finds
+    the partitions that are there.
+    """
     _check(name)
     if "'" in path:
         raise ValueError("path must not contain quotes")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet PARTITIONED BY ({', '.join(partition_by)}) LOCATION '{path}'")
-    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    if not spark.catalog.tableExists(name):
+        clustered = f"CLUSTERED BY ({', '.join(buckets[0])}) SORTED BY ({', '.join(buckets[0])}) INTO {buckets[1]} BUCKETS" if buckets else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet PARTITIONED BY ({', '.join(partition_by)}) {clustered} "
+                  f"LOCATION '{path}'")
+        if _exists(spark, path):
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return name
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.schema("value STRING").text(path)          # looks the path up, reads nothing
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True

@@ -10,6 +10,8 @@ exactly once, and later readers can take micro-batches by their number.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,35 @@ from ..functions.ingest import DEFAULT_SOURCE
 from ..operators.bronze import to_bronze
 
 
+def raw_lines(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = None, recursive: bool = False) -> DataFrame:
+    """The lines of raw files that a checkpoint has not seen, with their file; blank lines are no records.
+
+    A file is told by its path: deliver new content under a new name.
+    """
+    reader = spark.readStream.schema("value STRING").option("recursiveFileLookup", recursive)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return (reader.text(raw_dir)
+            .select("value", F.col("_metadata.file_path").alias("source_file"))
+            .where(F.length(F.trim(F.col("value"))) > 0))
+
+
+def run_available(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, timeout_s: float | None = None) -> bool:
+    """Hand everything available to ``write(micro-batch, number)`` and stop; False if ``timeout_s`` ended it earlier.
+
+    A micro-batch that is run again after a failure has the same rows and number,
+    so ``write`` has to replace what it wrote under that number.
+    """
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    if timeout_s is None:
+        query.awaitTermination()
+        return True
+    if query.awaitTermination(timeout_s):
+        return True
+    query.stop()
+    return False
+
+
 def stream_ingest(spark: SparkSession, raw_dir: str, sink_path: str, checkpoint: str,
                   source: str = DEFAULT_SOURCE, timeout_s: float | None = None,
                   max_files_per_trigger: int | None = None) -> dict:
@@ -28,27 +59,14 @@ def stream_ingest(spark: SparkSession, raw_dir: str, sink_path: str, checkpoint:
     ``timeout_s`` stops it earlier, with ``finished`` False, and a later run
     goes on from there.
     """
-    reader = spark.readStream.schema("value STRING")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    lines = (reader.text(raw_dir)
-             .select("value", F.col("_metadata.file_path").alias("source_file"))
-             .where(F.length(F.trim(F.col("value"))) > 0))
+    lines = raw_lines(spark, raw_dir, max_files_per_trigger)
     written: list[int] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").partitionBy("p_ingestdate").parquet(f"{sink_path}/batch_id={batch_id}")
         written.append(batch_id)
 
-    query = (to_bronze(lines, source, keep=("source_file",)).writeStream.foreachBatch(write)
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    if timeout_s is None:
-        query.awaitTermination()
-        finished = True
-    else:
-        finished = bool(query.awaitTermination(timeout_s))
-        if not finished:
-            query.stop()
+    finished = run_available(to_bronze(lines, source, keep=("source_file",)), write, checkpoint, timeout_s)
     counts = {"rows": 0, "files": 0}
     if written:
         rows = spark.read.parquet(sink_path).where(F.col("batch_id").between(min(written), max(written)))
