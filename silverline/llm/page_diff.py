@@ -1,15 +1,18 @@
-"""Main text of web pages: markup where it speaks, nearest-URL differencing where it is silent.
-
-A page is read as blocks of text. Menus, headers, footers, sidebars, notices,
-adverts, forms, comments, scripts and styles, known by their element, role,
-class or id, are left out. If the page marks its article (``article``, ``main``
-or a role or class that says so), that is the main text. Otherwise the page is
-paired with the one nearest to it by URL path among such pages of the whole
-host; blocks are aligned by their longest common subsequence and shared ones are
-deleted. Exact and near copies are passed over for the nearest page that differs.
-
-Differencing alone is not enough for such pages: their menus and adverts change
-from page to page while copies of an article share all their lines.
+"""Main text of web pages: nearest-URL differencing of all blocks, checked by markup.
+
+A page is read as blocks of text; scripts, styles and comments are no text. Every
+page is paired with the one nearest to it by URL path on the whole host, of those that
+mark their article or of those that do not, whose body differs; their blocks are aligned by their longest common subsequence and
+shared ones are deleted. Exact and near copies are passed over as partners, as
+they share the article. If a host has nothing but pages that are alike, these are
+paired among themselves, unless they are equal.
+
+Markup is the check afterwards. Blocks in menus, headers, footers, sidebars,
+notices, adverts and forms, known by their element, role, class or id, go even
+if no neighbour shares them, since menus and adverts change from page to page.
+If the page marks its article (``article``, ``main`` or a role or class that
+says so), only that stays, and a line of it that a neighbour shares stays as
+well, since articles quote each other, unless every page of the host has it.
 """
 
 from __future__ import annotations
@@ -46,6 +49,8 @@ DROPPED_WORDS = frozenset("""ad ads adbox advert adverts advertisement advertisi
 MAIN_WORDS = frozenset("""article content maincontent postcontent entrycontent articlebody articlecontent postbody storybody
     entry post story""".split())
 
+NOTICE_PAGES = 5        # a host of fewer different pages does not tell its notices
+
 _TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|</[^>]*>""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)|([^\s=/>"']+)""")
 _BLANKS = re.compile(r"\s+")
@@ -88,22 +93,24 @@ def _kind(tag: str, attributes: str, in_main: bool) -> str:
 
 
 def blocks_of(page: str) -> list[tuple[str, int]]:
-    """(text, rank) of the blocks of a page in order; rank 2: inside an article, 1: inside its like, 0: elsewhere."""
+    """(text, rank) of the blocks of a page in order; rank 2: inside an article, 1: inside its like, 0: elsewhere, -1: left out by markup."""
     blocks: list[tuple[str, int]] = []
     text: list[str] = []
+    lost: list[str] = []
     stack: list[tuple[str, str]] = []          # open elements that matter, with their kind
     dropped = heads = heading = main = weak = 0
     at, n = 0, len(page)
 
     def end_block():
-        joined = _BLANKS.sub(" ", entities.unescape("".join(text))).strip()
-        text.clear()
-        if joined:
-            blocks.append((joined, 2 if main else 1 if weak else 0))
+        for pieces, rank in ((lost, -1), (text, 2 if main else 1 if weak else 0)):
+            joined = _BLANKS.sub(" ", entities.unescape("".join(pieces))).strip()
+            pieces.clear()
+            if joined:
+                blocks.append((joined, rank))
 
     def add(piece: str):
-        if piece and not dropped and (not heads or heading):
-            text.append(piece)
+        if piece:
+            (lost if dropped or heads and not heading else text).append(piece)
 
     while at < n:
         token = _TOKEN.search(page, at)
@@ -157,7 +164,7 @@ def blocks_of(page: str) -> list[tuple[str, int]]:
 
 def main_text(page: str) -> tuple[list[str], list[str] | None]:
     """(blocks outside the article, blocks of the article or None if the page marks none)."""
-    blocks = blocks_of(page)
+    blocks = [(b, r) for b, r in blocks_of(page) if r >= 0]
     best = max((rank for _, rank in blocks), default=0)
     if best:
         return [b for b, r in blocks if r < best], [b for b, r in blocks if r >= best]
@@ -191,25 +198,26 @@ def _hash(line: str) -> int:
     return int.from_bytes(blake2b(line.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-_PARSED = "page_id long, url string, text string, blocks array<string>, hashes array<long>, sizes array<int>, digest binary"
+_PARSED = ("page_id long, url string, marked boolean, blocks array<string>, lines array<long>, body array<boolean>, hashes array<long>, "
+           "sizes array<int>, digest binary")
 
 
 def _parse(batches):
+    """Blocks of each page with their hashes (``lines``), which of them are its body, and the body's hashes, sizes and digest."""
+    kinds = (pa.bool_(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary())
+    names = ["page_id", "url", "marked", "blocks", "lines", "body", "hashes", "sizes", "digest"]
     for batch in batches:
         rows = []
         for page in batch.column(2).to_pylist():
-            outside, article = main_text(page or "")
-            if article is None and outside:
-                hashes, sizes = [_hash(b) for b in outside], [len(b) for b in outside]
-                digest = blake2b("\0".join(outside).encode(), digest_size=16).digest()
-                rows.append((None, outside, hashes, sizes, digest))
-            else:
-                rows.append(("\n\n".join(article or ()), None, None, None, None))
-        texts, blocks, hashes, sizes, digests = zip(*rows, strict=True) if rows else ((),) * 5
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(blocks, pa.list_(pa.string())),
-             pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32())), pa.array(digests, pa.binary())],
-            ["page_id", "url", "text", "blocks", "hashes", "sizes", "digest"])
+            found = blocks_of(page or "")
+            best = max((rank for _, rank in found), default=0)
+            blocks, body = [b for b, _ in found], [rank >= max(best, 0) for _, rank in found]
+            lines = [_hash(b) for b in blocks]
+            own = [i for i, b in enumerate(body) if b]
+            digest = blake2b("\0".join(blocks[i] for i in own).encode(), digest_size=16).digest()
+            rows.append((best > 0, blocks, lines, body, [lines[i] for i in own], [len(blocks[i]) for i in own], digest))
+        columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names)
 
 
 def _shared_prefix(a: str, b: str) -> int:
@@ -221,15 +229,24 @@ def _shared_prefix(a: str, b: str) -> int:
     return n
 
 
+_KEPT = "page_id long, url string, kept array<string>, kept_lines array<long>, shared array<long>, by_difference int, by_markup int"
+
+
 def _difference(batches):
+    """What stays of each page, the lines of its article that the partner has too, and how many blocks went which way."""
+    kinds = (pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32(), pa.int32())
     for batch in batches:
-        texts = []
-        for row in batch.to_pylist():
-            shared = common_lines(row["hashes"], row["partner"]) if row["partner"] is not None else set()
-            texts.append("\n\n".join(b for i, b in enumerate(row["blocks"]) if i not in shared))
-        yield pa.RecordBatch.from_arrays([pa.array([r["page_id"] for r in batch.select(["page_id"]).to_pylist()], pa.int64()),
-                                          batch.column(batch.schema.get_field_index("url")), pa.array(texts, pa.string())],
-                                         ["page_id", "url", "text"])
+        rows = []
+        for row in batch.select(["marked", "blocks", "lines", "body", "partner"]).to_pylist():
+            lines, body = row["lines"], row["body"]
+            shared = common_lines(lines, row["partner"]) if row["partner"] is not None else set()
+            stays = [i for i, b in enumerate(body) if b and (row["marked"] or i not in shared)]
+            gone = set(range(len(lines))).difference(stays)
+            rows.append(([row["blocks"][i] for i in stays], [lines[i] for i in stays], sorted({lines[i] for i in stays if i in shared}),
+                         len(gone & shared), len(gone - shared)))
+        columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))],
+                                         [f.split()[0] for f in _KEPT.split(", ")])
 
 
 def _alike(a: dict, b: dict) -> bool:
@@ -262,7 +279,7 @@ def _runs(rows: list[dict]) -> list[tuple[int, int]]:
     return list(zip(starts, [*starts[1:], len(rows)], strict=True))
 
 
-_SLIM = "host string, path string, address string, digest binary, hashes array<long>, sizes array<int>"
+_SLIM = "host string, path string, address string, digest binary, hashes array<long>, sizes array<int>, lines array<long>"
 _EDGE = f"part int, place string, {_SLIM}"
 
 
@@ -283,11 +300,12 @@ def _edges(group: pa.Table) -> pa.Table:
             found["prior"] = leader - 1
     return pa.Table.from_pylist([{**rows[i], "place": place} for place, i in found.items()], schema=pa.schema([
         ("part", pa.int32()), ("place", pa.string()), ("host", pa.string()), ("path", pa.string()), ("address", pa.string()),
-        ("digest", pa.binary()), ("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))]))
+        ("digest", pa.binary()), ("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("lines", pa.list_(pa.int64()))]))
 
 
-def _carried(ranges: list[dict]) -> list[tuple[dict | None, dict | None]]:
-    """For each range in order: the row before its first run and the row after its last, on the host and no copy of the run."""
+def _carried(ranges: list[dict]) -> list[tuple[dict | None, ...]]:
+    """For each range in order: the row before its first run and the row after its last, on the host and no copy of the run;
+    then the rows next to the range, whatever they are."""
     def seek(own: dict, others, outer: str, head: str, inner: str) -> dict | None:
         for other in others:
             if other[head]["host"] != own["host"]:
@@ -301,11 +319,14 @@ def _carried(ranges: list[dict]) -> list[tuple[dict | None, dict | None]]:
         return None
 
     return [(seek(r["first"], reversed(ranges[:i]), "last", "leader", "prior"),
-             seek(r["leader"], ranges[i + 1:], "first", "first", "second")) for i, r in enumerate(ranges)]
+             seek(r["leader"], ranges[i + 1:], "first", "first", "second"),
+             ranges[i - 1]["last"] if i else None, ranges[i + 1]["first"] if i + 1 < len(ranges) else None) for i, r in enumerate(ranges)]
 
 
 def nearest(lines: DataFrame) -> DataFrame:
-    """(address, digest, partner) from rows of ``_SLIM``: the hashes of the page nearest in path order on the host that differs.
+    """(address, digest, partner) from rows of ``_SLIM``: the lines of the page nearest in path order on the host that differs.
+
+    On a host whose pages are all alike it is the next page that is not equal.
 
     Rows are sorted by range over all hosts, so no task holds a host; the edges of
     ranges go by the driver (five rows a range), so a neighbour in another range,
@@ -322,36 +343,65 @@ def nearest(lines: DataFrame) -> DataFrame:
     def partners(group: pa.Table) -> pa.Table:
         rows = _in_order(group)
         runs = _runs(rows)
-        before_all, after_all = carried[rows[0]["part"]]
+        before_all, after_all, last_before, first_after = carried[rows[0]["part"]]
         out: dict[str, list] = {"address": [], "digest": [], "partner": []}
         for k, (start, end) in enumerate(runs):
             before = rows[start - 1] if k else before_all
             after = rows[end] if end < len(rows) else after_all
-            for row in rows[start:end]:
+            for at in range(start, end):
+                row = rows[at]
                 near = [r for r in (before, after) if r is not None and r["host"] == row["host"] and not _alike(r, row)]
+                if not near:
+                    beside = (rows[at - 1] if at else last_before, rows[at + 1] if at + 1 < len(rows) else first_after)
+                    near = [r for r in beside if r is not None and r["host"] == row["host"] and r["digest"] != row["digest"]]
                 if near:                        # the one before if both are as near
                     out["address"].append(row["address"])
                     out["digest"].append(row["digest"])
-                    out["partner"].append(max(near, key=lambda r: _shared_prefix(row["path"], r["path"]))["hashes"])
+                    out["partner"].append(max(near, key=lambda r: _shared_prefix(row["path"], r["path"]))["lines"])
         return pa.table([pa.array(out["address"], pa.string()), pa.array(out["digest"], pa.binary()),
                          pa.array(out["partner"], pa.list_(pa.int64()))], ["address", "digest", "partner"])
 
     return ranged.groupBy("part").applyInArrow(partners, "address string, digest binary, partner array<long>")
 
 
+def decide(pages: DataFrame) -> DataFrame:
+    """page_id, url, kept (blocks), kept_lines (their hashes), shared (lines of the article that the partner has), host, digest,
+    and how many blocks went by differencing and how many by markup alone."""
+    parsed = cut(pages.select("page_id", "url", "html").mapInArrow(_parse, _PARSED).withColumn("address", F.coalesce("url", F.lit(""))), "page-blocks")
+    hosts = parsed.withColumn("host", host_of(F.col("url")))
+    kind = F.concat_ws("\x1f", "host", "marked").alias("host")        # pages that mark their article are paired among themselves
+    lines = hosts.filter(F.size("lines") > 0).select(kind, path_of(F.col("url")).alias("path"), "address", "digest", "hashes", "sizes", "lines")
+    paired = hosts.join(nearest(lines), ["address", "digest"], "left")
+    kept = paired.select("page_id", "url", "marked", "blocks", "lines", "body", "partner").mapInArrow(_difference, _KEPT)
+    return cut(kept.withColumn("host", host_of(F.col("url"))), "page-kept")
+
+
+def notices(kept: DataFrame) -> DataFrame:
+    """(host, notices): hashes of the lines that stand in the article of every page of a host of NOTICE_PAGES or more.
+
+    Only lines that some page shares with its partner are counted. Pages with equal articles are one page.
+    """
+    told = kept.filter(F.size("kept_lines") > 0).select("host", "kept_lines", F.hash("kept_lines").alias("a"), F.xxhash64("kept_lines").alias("b")) \
+        .dropDuplicates(["host", "a", "b"])
+    pages = told.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= NOTICE_PAGES)
+    asked = kept.select("host", F.explode("shared").alias("line")).distinct().join(pages, "host")
+    held = told.select("host", F.explode(F.array_distinct("kept_lines")).alias("line"))
+    return held.join(asked, ["host", "line"]).groupBy("host", "line", "pages").agg(F.count(F.lit(1)).alias("n")).filter("n = pages") \
+        .groupBy("host").agg(F.collect_list("line").alias("notices"))        # all on every page: no more than a page has
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every page.
 
     White space inside a block becomes one space, blocks are joined by an empty
     line. Null, empty or textless html has the empty text. A page that marks no
-    article and has no such page on its host that differs from it keeps all blocks
-    that are not left out by their markup; so repeated rows, which each stay, and
-    copies lose nothing to each other. No other columns are read.
+    article and has no page on its host that differs from it keeps all blocks that
+    are not left out by their markup; so repeated rows, which each stay, and equal
+    pages lose nothing to each other. No other columns are read.
     """
-    parsed = cut(pages.select("page_id", "url", "html").mapInArrow(_parse, _PARSED), "page-blocks")
-    marked = parsed.filter("text IS NOT NULL").select("page_id", "url", "text")
-    silent = parsed.filter("blocks IS NOT NULL").withColumn("address", F.coalesce("url", F.lit("")))
-    lines = silent.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "address", "digest", "hashes", "sizes")
-    differenced = silent.join(nearest(lines), ["address", "digest"], "left").select("page_id", "url", "blocks", "hashes", "partner") \
-        .mapInArrow(_difference, "page_id long, url string, text string")
-    return marked.unionByName(differenced).withColumn("n_chars", F.char_length("text").cast("long"))
+    kept = decide(pages)
+    every = notices(kept).select(F.col("host").alias("_host"), "notices")
+    left = kept.join(every, F.col("host") == F.col("_host"), "left").withColumn("numbered", F.arrays_zip("kept", "kept_lines"))
+    stays = F.filter("numbered", lambda b: ~F.coalesce(F.array_contains(F.col("notices"), b["kept_lines"]), F.lit(False)))
+    return left.withColumn("text", F.array_join(F.transform(stays, lambda b: b["kept"]), "\n\n")) \
+        .select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

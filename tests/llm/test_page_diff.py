@@ -116,3 +116,45 @@ def test_copies_are_passed_over(spark):
     assert all(got[i] == "\n\n".join(near(i)) for i in range(160, 220))
     assert got[1] == got[2] == "one\n\nuno\n\nun"
     assert all(got[i] == "\n\n".join(["Top line", *lines, "Bottom line"]) for i in range(300, 340))
+
+
+def test_thin_pages_are_differenced(spark):
+    menu = "".join(f"<li>Menu entry {k}</li>" for k in range(24))
+    rows = [(i, f"http://thin.com/{i}", f"<body><ul>{menu}</ul><p>Own paragraph {i} of this page.</p></body>") for i in range(6)]
+    for ranges in (1, 7):
+        assert _texts(spark, rows, ranges) == {i: f"Own paragraph {i} of this page." for i in range(6)}
+
+
+def test_notices_of_every_article_go(spark):
+    def page(i, host):
+        return (i, f"http://{host}/{i}", f"<body><nav>Menu {i}</nav><article><p>Text {i} of it.</p><p>Follow us every day</p><p>{'Quoted' if i % 2 else 'Own'} line</p>"
+                                         f"<p>More {i}</p></article><footer>Foot</footer></body>")
+
+    got = _texts(spark, [*(page(i, "many.com") for i in range(8)), *(page(i, "few.com") for i in range(20, 23))])
+    assert all(got[i] == f"Text {i} of it.\n\n{'Quoted' if i % 2 else 'Own'} line\n\nMore {i}" for i in range(8))
+    assert all("Follow us every day" in got[i] for i in range(20, 23))          # too few pages to tell
+
+
+def test_differencing_decides_blocks_of_the_table(spark):
+    """Counts by an independent version: partners in path order among rows that differ, and sets of lines."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    kept = P.decide(pages).collect()
+    assert sum(r["by_difference"] for r in kept) > 0 and sum(r["by_markup"] for r in kept) > 0
+    lines = {}
+    for r in pages.collect():
+        blocks = P.blocks_of(r["html"])
+        best = max(k for _, k in blocks)
+        lines[r["url"]] = ([b for b, _ in blocks], {b for b, k in blocks if k == best})
+    place = {u: (re.match("[^:]*://([^/?#]*)", u)[1].lower(), re.match("[^:]*://[^/?#]*([^?#]*)", u)[1], u) for u in lines}
+    order = sorted(lines, key=place.get)
+    for r in kept:
+        at = order.index(r["url"])
+        beside = [order[i] for i in (at - 1, at + 1) if 0 <= i < len(order) and place[order[i]][0] == place[r["url"]][0]]
+        own, article = lines[r["url"]]
+        assert r["by_difference"] + r["by_markup"] == sum(b not in article for b in own)
+        if any(len(lines[u][1] & article) > len(article) / 2 for u in beside):
+            continue                                                               # copies: the partner is further off
+        most = max((P._shared_prefix(place[u][1], place[r["url"]][1]) for u in beside), default=0)
+        counts = {sum(i in P.common_lines(own, lines[u][0]) and b not in article for i, b in enumerate(own)) for u in beside
+                  if P._shared_prefix(place[u][1], place[r["url"]][1]) == most} or {0}
+        assert r["by_difference"] in counts
