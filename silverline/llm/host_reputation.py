@@ -130,20 +130,19 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
                         (mean + BOUND_SIGMAS * F.sqrt(mean * (1 - mean) / (weight + 1))).alias("upper"))
 
 
-def judge_pages(pages: DataFrame, labels: DataFrame, rules=RULES, least_good: float = LEAST_GOOD) -> DataFrame:
+def judge_pages(pages: DataFrame, labels: DataFrame, document: Column, rules=RULES, least_good: float = LEAST_GOOD) -> DataFrame:
     """page_id, host, path, rule and verdict of every page.
 
-    The outcome of a page is the ``quality`` label of the document it carries,
-    named by the number that ends its URL path; a page without one has no
-    outcome. Page ids play no part: they and the documents' are unrelated. Null
+    The outcome of a page is the ``quality`` label of the document it carries;
+    ``document`` gives its doc_id from the page's columns, null for a page without an outcome. Null
     labels are left out, several labels of one document give its pages their
     mean rounded. A null url or one without ``://`` has host and
     path empty and is judged as a host of its own. Repeated pages each count.
     Extra columns play no part.
     """
-    slim = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    slim = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), document.alias("doc_id"))
     known = labels.groupBy("doc_id").agg(F.round(F.avg("quality")).cast("int").alias("good"))
-    carried = slim.select("host", document_of(F.col("path")).alias("doc_id"))
+    carried = slim.select("host", "doc_id")
     reputation = host_reputation(carried.join(known, "doc_id", "left").select("host", "good")) \
         .select("host", F.when(F.col("upper") < least_good, "block").otherwise("allow").alias("by_host"))
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
@@ -153,17 +152,18 @@ def judge_pages(pages: DataFrame, labels: DataFrame, rules=RULES, least_good: fl
 
 
 JUDGE_SQL = f"""
-WITH p AS (
+WITH u AS (
   SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
   FROM pages),
-k AS (SELECT doc_id AS page_id, CAST(round(avg(quality)) AS INT) AS good FROM labels GROUP BY doc_id),
+p AS (SELECT *, TRY_CAST(regexp_extract(path, '/([0-9]{{1,18}})(?:\\.html)?/?$', 1) AS BIGINT) AS doc_id FROM u),
+k AS (SELECT doc_id, CAST(round(avg(quality)) AS INT) AS good FROM labels GROUP BY doc_id),
 h AS (
   SELECT host, count(good) AS n, coalesce(sum(good), 0) AS good,
          array_to_string(list_slice(string_split(string_split(host, ':')[1], '.'), -2, -1), '.') AS domain,
          string_split(string_split(host, ':')[1], '.')[-1] AS suffix
-  FROM p LEFT JOIN k USING (page_id) GROUP BY host),
+  FROM p LEFT JOIN k USING (doc_id) GROUP BY host),
 s AS (
   SELECT suffix, (sum(good) + {SUFFIX_STRENGTH} * base) / (sum(n) + {SUFFIX_STRENGTH}) AS m
   FROM h, (SELECT (sum(good) + 1.0) / (sum(n) + 2.0) AS base FROM h) GROUP BY suffix, base),

@@ -40,6 +40,11 @@ def line_keys(text: bytes) -> list[bytes]:
     return [line.strip(b" \t\n\x0b\x0c\r").lower() for line in text.split(b"\n")]
 
 
+def long_enough(key: bytes, least: int) -> bool:
+    """Whether a key has that many code points."""
+    return len(key) >= least and (least <= 1 or len(key.decode()) >= least)
+
+
 def key_hashes(keys: list[bytes]) -> np.ndarray:
     """128-bit hashes of keys as an n x 2 array of words."""
     from hashlib import blake2b
@@ -54,7 +59,7 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
 def _distinct_keys(batches, least: int):
     for batch in batches:
         for text in texts_of(batch, "text"):
-            keys = [k for k in dict.fromkeys(line_keys(text)) if len(k) >= least]
+            keys = [k for k in dict.fromkeys(line_keys(text)) if long_enough(k, least)]
             if keys:
                 words = key_hashes(keys).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(words[:, 0]), pa.array(words[:, 1])], ["high", "low"])
@@ -232,7 +237,7 @@ def _drop_in_scan(both, least: int, batches):
         flat = [k for ks in keys for k in ks]
         words = key_hashes(flat)
         high, low = words[:, 0].copy(), words[:, 1].copy()
-        drop = probe(tables, shard_of(high, len(tables)), high, low) & (np.fromiter(map(len, flat), np.int64, len(flat)) >= least)
+        drop = probe(tables, shard_of(high, len(tables)), high, low) & np.fromiter((long_enough(k, least) for k in flat), bool, len(flat))
         hits = np.flatnonzero(drop)
         if len(spared) and len(hits):
             drop[hits] = ~np.isin(_pairs(high[hits], low[hits]), spared)
@@ -250,7 +255,7 @@ def _drop_in_scan(both, least: int, batches):
 def _lines_of_texts(least: int, batches):
     for batch in batches:
         for digest, text in zip(batch.column("_digest").to_pylist(), texts_of(batch, "text"), strict=True):
-            keys = [k for k in dict.fromkeys(line_keys(text)) if len(k) >= least]
+            keys = [k for k in dict.fromkeys(line_keys(text)) if long_enough(k, least)]
             if keys:
                 words = key_hashes(keys).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([digest] * len(keys)), pa.array(words[:, 0]), pa.array(words[:, 1])],
@@ -272,20 +277,24 @@ def _drop_listed(batches):
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """doc_id, n_lines, n_dropped and kept of every document, all documents inserted first."""
+    """doc_id, n_lines, n_dropped and kept of every document, all documents inserted first.
+
+    A document is a row: a document that is there ten times has each of its keys in ten documents.
+    """
     slim = docs.select("doc_id", "text")
     store = LineStore.empty(docs.sparkSession, min_docs).insert(slim)
     return store.clean(slim).drop("text")
 
 
 LINES_SQL = f"""
-WITH l AS (
-  SELECT doc_id, pos, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+WITH n AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents),
+l AS (
+  SELECT doc_id, r, pos, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
-  FROM (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos
-        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
-c AS (SELECT k FROM l WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= {MIN_DOCS})
-SELECT l.doc_id, count(*) AS n_lines, count(c.k) AS n_dropped,
+  FROM (SELECT doc_id, r, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos
+        FROM (SELECT doc_id, r, string_split(text, chr(10)) AS ls FROM n))),
+c AS (SELECT k FROM l WHERE k <> '' GROUP BY k HAVING count(DISTINCT r) >= {MIN_DOCS})
+SELECT any_value(l.doc_id) AS doc_id, count(*) AS n_lines, count(c.k) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE c.k IS NULL), '')) AS kept_sha256
-FROM l LEFT JOIN c ON l.k = c.k GROUP BY l.doc_id
+FROM l LEFT JOIN c ON l.k = c.k GROUP BY l.r
 """

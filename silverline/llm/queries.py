@@ -37,7 +37,9 @@ def op6_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return host_reputation.judge_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    # the pages of these tables name the document they carry by the number that ends their path
+    document = host_reputation.document_of(host_reputation.path_of(F.col("url")))
+    return host_reputation.judge_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), document)
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from silverline.llm import host_reputation as H
+from silverline.llm.queries import op7_host_reputation
 
 SF = "/root/testdata/sf0.01"
 
@@ -60,6 +61,10 @@ def test_against_plain_formulas(spark):
     assert got["bad.evil.org"][3] < H.LEAST_GOOD < got["single"][3]
 
 
+def named():
+    return H.document_of(H.path_of(F.col("url")))
+
+
 URLS = [("HTTP://WWW.Example.COM/en/1?x", "www.example.com", "/en/1", "www.example.com/en/", "allow"),
         ("http://a.www.example.com/en/", "a.www.example.com", "/en/", "www.example.com/en/", "allow"),
         ("http://m.example.com/en/x#y", "m.example.com", "/en/x", "example.com/en/", "block"),
@@ -77,16 +82,16 @@ def test_hosts_paths_and_rules(spark):
     pages = spark.createDataFrame([(i, u[0], "clash") for i, u in enumerate(URLS)], "page_id long, url string, host string")
     labels = spark.createDataFrame([(0, 1), (0, 1), (1, None), (None, 0), (99, 0)], "doc_id long, quality int") \
         .withColumn("path", F.lit("clash"))
-    got = {r["page_id"]: tuple(r)[1:] for r in H.judge_pages(pages, labels).collect()}
+    got = {r["page_id"]: tuple(r)[1:] for r in H.judge_pages(pages, labels, named()).collect()}
     assert got == {i: u[1:] for i, u in enumerate(URLS)}
-    assert H.judge_pages(pages.limit(0), labels).count() == 0
-    assert H.judge_pages(pages.unionAll(pages), labels.limit(0)).count() == 2 * len(URLS)
+    assert H.judge_pages(pages.limit(0), labels, named()).count() == 0
+    assert H.judge_pages(pages.unionAll(pages), labels.limit(0), named()).count() == 2 * len(URLS)
 
 
 def test_a_bad_host_is_blocked(spark):
     pages = spark.createDataFrame([(i, f"http://{'bad' if i % 2 else 'fine'}.site{i % 2}.org/{i}") for i in range(80)], "page_id long, url string")
     labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(60)], "doc_id long, quality int")
-    got = {r["page_id"]: r["verdict"] for r in H.judge_pages(pages, labels).collect()}
+    got = {r["page_id"]: r["verdict"] for r in H.judge_pages(pages, labels, named()).collect()}
     assert got == {i: "block" if i % 2 else "allow" for i in range(80)}
 
 
@@ -94,7 +99,7 @@ def test_sql(spark):
     con = duckdb.connect()
     for t in ("pages", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-    got = H.judge_pages(*(spark.read.parquet(f"{SF}/{t}.parquet") for t in ("pages", "labels"))).collect()
+    got = op7_host_reputation(spark, SF).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, con.execute(H.JUDGE_SQL).fetchall()))
 
 
@@ -104,7 +109,7 @@ def test_outcomes_come_by_the_document_a_page_carries(spark):
         [(1000 - i, f"http://{'bad' if i % 2 else 'fine'}.site{i % 2}.org/en/{i}{ends[i % 6]}") for i in range(120)]
         + [(2000, "http://fine.site0.org/en/x1"), (2001, "http://fine.site0.org/1/en")], "page_id long, url string")
     labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(120)] + [(1000 - i, i % 2) for i in range(120)], "doc_id long, quality int")
-    got = {(r["host"], r["verdict"]) for r in H.judge_pages(pages, labels).collect()}
+    got = {(r["host"], r["verdict"]) for r in H.judge_pages(pages, labels, named()).collect()}
     assert got == {("bad.site1.org", "block"), ("fine.site0.org", "allow")}
 
 
@@ -119,15 +124,17 @@ def test_tables_name_the_document_in_the_url(spark, sf):
     assert named and all(" ".join(main_text(r["html"])[1][1:]).split() == texts[r["doc_id"]] for r in named)
 
 
-def test_sql_on_carried_outcomes(spark):
-    """JUDGE_SQL, given labels already keyed by the page that carries their document."""
-    pages, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("pages", "labels"))
+def test_sql_takes_the_document_not_the_page(spark):
+    """Where the labels of documents and of page ids differ, SQL and code follow the document."""
+    pages = [(1000 - i, f"http://{'bad' if i % 2 else 'fine'}.site{i % 2}.org/en/{i}") for i in range(120)]
+    labels = [(i, 1 - i % 2) for i in range(120)] + [(1000 - i, i % 2) for i in range(120)]
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")
-    con.execute(f"""CREATE VIEW labels AS SELECT page_id AS doc_id, quality FROM pages JOIN '{SF}/labels.parquet' l
-        ON l.doc_id = CAST(regexp_extract(url, '://[^/]+/[a-z]+/([0-9]+)', 1) AS BIGINT)""")
-    got = H.judge_pages(pages, labels).collect()
-    assert sorted(map(str, map(tuple, got))) == sorted(map(str, con.execute(H.JUDGE_SQL).fetchall()))
+    for name, kinds, rows in (("pages", "page_id BIGINT, url VARCHAR", pages), ("labels", "doc_id BIGINT, quality INT", labels)):
+        con.execute(f"CREATE TABLE {name} ({kinds})")
+        con.executemany(f"INSERT INTO {name} VALUES (?, ?)", rows)
+    got = H.judge_pages(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int"), named())
+    got = sorted(map(str, map(tuple, got.collect())))
+    assert got == sorted(map(str, con.execute(H.JUDGE_SQL).fetchall())) and sum("block" in r for r in got) == 60
 
 
 def test_registered_domains():

@@ -83,3 +83,22 @@ def test_sql(spark):
     want = con.execute(L.LINES_SQL).fetchall()
     got = L.dedup_lines(spark.read.parquet(f"{SF}/documents.parquet")).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256))
     assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_least_is_in_code_points(spark):
+    docs = docs_of(spark, [(i, "éé\nabc\nown %d line" % i) for i in range(12)])
+    for least, left in ((2, 0), (3, 1), (4, 2)):
+        store = L.LineStore.empty(spark, 10, least).insert(docs.select("doc_id", "text"))
+        assert {r["kept"].count("\n") for r in store.clean(docs.select("doc_id", "text")).collect()} == {left}
+
+
+def test_a_repeated_row_counts_as_a_document(spark):
+    rows = [(1, "ten times\nthe same")] * 10 + [(2, "ten times\nonly here")]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    got = L.dedup_lines(docs_of(spark, rows)).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+    want = con.execute(L.LINES_SQL)
+    order = [d[0] for d in want.description]
+    assert sorted(map(tuple, got.select(*order).collect())) == sorted(want.fetchall())
+    assert {(r["doc_id"], r["n_dropped"]) for r in got.collect()} == {(1, 2), (2, 1)}
