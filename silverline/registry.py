@@ -256,6 +256,15 @@ def q_stream_ingest(spark, sf_dir):
     return view_parsed(spark.read.parquet(f"{root}/arrivals"))
 
 
+def q_stream_dedupe(spark, sf_dir):
+    """The feed's lines once each, whatever micro-batch repeats them; the run is cut in two."""
+    root, raw = scratch_path(spark, "stream-dedupe"), scratch_path(spark, "stream-raw")
+    for part in (_first_batch(lines(spark, sf_dir)), lines(spark, sf_dir)):
+        part.write.mode("append").text(raw)
+        stream_ingest(spark, raw, f"{root}/arrivals", f"{root}/_checkpoint", dedupe_within="7 days")
+    return view_parsed(spark.read.parquet(f"{root}/arrivals"))
+
+
 def q_fold_arrivals(spark, sf_dir):
     root = scratch_path(spark, "fold")
     stream_ingest(spark, raw_feed_path(spark, sf_dir), f"{root}/arrivals", f"{root}/_checkpoint", max_files_per_trigger=1)
@@ -651,6 +660,7 @@ ORACLE: dict[str, str] = {
     "sink_json_lines": f"{W} SELECT {V} FROM typed",
     "register_external": f"{W} SELECT {V} FROM typed",
     "stream_ingest": f"{W} SELECT {V} FROM typed",
+    "stream_dedupe": f"{W} SELECT DISTINCT {V} FROM typed",
     "explode_source_array": f"{W} SELECT {V} FROM typed",
     "explode_genres": f"{W} {GENRES}",
     "struct_star": (f"{W} SELECT f.Id, f.Title, f.Budget, f.RunTime, f.OriginalLanguage, f.ReleaseDate, "

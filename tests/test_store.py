@@ -219,6 +219,18 @@ def test_many_micro_batches_are_counted_exactly(spark):
     assert store.bronze().count() == store.bronze().distinct().count() == 125
 
 
+def test_repeats_across_micro_batches_and_runs_load_once(spark):
+    root, raw = scratch_path(spark, "dedupe"), tempfile.mkdtemp(prefix="raw-")
+    for run, ids in enumerate(((1, 2, 2), (2, 3), (1, 3, 4, 4))):
+        for i, n in enumerate(ids):
+            with open(f"{raw}/{run}-{i}.json", "w") as f:
+                f.write(_line(n) + "\n" + _line(n) + "\n")
+        got = stream_ingest(spark, raw, f"{root}/arrivals", f"{root}/_ckpt", max_files_per_trigger=1, dedupe_within="1 day")
+        assert got["finished"] and got["rows"] == (2, 1, 1)[run] and got["state_rows"] == (2, 3, 4)[run]
+    assert sorted(r.value for r in spark.read.parquet(f"{root}/arrivals").collect()) == sorted(_line(n) for n in (1, 2, 3, 4))
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass", "")
+
+
 def test_population_clean_derives_only_loaded_records(spark, duck):
     n_clean, n_repaired = _counts(duck)
     raw = Rg.raw_feed_path(spark, SMALL_SF)
