@@ -25,6 +25,8 @@ from silverline.llm.wordhash import WordHasher, joined, mixed, text_slabs
 EDIT_SHARE = 0.2           # edits allowed, as a share of the item's words
 BLOCK_BYTES = 16 << 20     # item text broadcast at once
 SEEN_BITS = 22
+SHORT_WORDS = 1 << 10      # all masks of an item up to this size are kept once they are made
+READY_WORDS = 1 << 18      # words of the items whose masks a task holds, unless one item has more
 
 
 class PassageHasher(WordHasher):
@@ -55,38 +57,71 @@ def budget(words: int, share: float = EDIT_SHARE) -> int:
     return int(words * share)
 
 
+class Masks:
+    """Bit masks of the places of every word in an item of m words, made when they are asked for.
+
+    Only those of words with over sqrt(m) places are kept, sqrt(m) of m bits at
+    most, so an item takes memory in proportion to its words, not to their square.
+    """
+
+    def __init__(self, words: np.ndarray):
+        self.order = np.argsort(words, kind="stable")
+        self.held, self.begin = np.unique(words[self.order], return_index=True)
+        self.end = np.append(self.begin[1:], len(words))
+        self.size, self.often, self.kept = len(words) // 8 + 1, int(len(words) ** 0.5), {}
+        if len(words) <= SHORT_WORDS:
+            self.often = 0                            # all of a short item's masks are small
+
+    def get(self, word: int, _=0) -> int:
+        if word in self.kept:
+            return self.kept[word]
+        at = int(np.searchsorted(self.held, np.uint64(word)))
+        if at == len(self.held) or int(self.held[at]) != word:
+            return 0
+        places = self.order[self.begin[at]:self.end[at]]
+        bits = np.zeros(self.size, np.uint8)
+        np.bitwise_or.at(bits, places >> 3, (1 << (places & 7)).astype(np.uint8))
+        mask = int.from_bytes(bits.tobytes(), "little")
+        if len(places) > self.often:
+            self.kept[word] = mask
+        return mask
+
+
 class Items:
-    """A block of items ready for matching: pieces by their length, and bit masks for Myers."""
+    """A block of items ready for matching: their words and their pieces by length, some 40 bytes a word in all."""
 
     def __init__(self, ids: list[int], texts: list[str], share: float = EDIT_SHARE):
-        hasher = PassageHasher()
-        words, at = words_by_text(texts, hasher)
-        self.ids, self.words, self.edits, self.masks = [], [], [], []
-        pieces: dict[int, list[tuple[int, int, int]]] = {}
+        words, at = words_by_text(texts, PassageHasher())
+        self.ids, self.words, self.edits, self.own = [], [], [], []
+        found: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
         for i, item in enumerate(ids):
-            own = words[at[i]:at[i + 1]]
+            own = words[at[i]:at[i + 1]].copy()
             if not len(own):
                 continue
             m, e = len(own), budget(len(own), share)
-            masks: dict[int, int] = {}
-            for k, w in enumerate(own.tolist()):
-                masks[w] = masks.get(w, 0) | 1 << k
             size = m // (e + 1)                       # the leading words of each piece
-            grams = gram_hashes(own, size)
-            for p in range(e + 1):
-                start = p * m // (e + 1)
-                pieces.setdefault(size, []).append((int(grams[start]), len(self.ids), start))
+            starts = np.arange(e + 1) * m // (e + 1)
+            found.setdefault(size, []).append((gram_hashes(own, size)[starts], np.full(e + 1, len(self.ids), np.int32), starts.astype(np.int32)))
             self.ids.append(item)
             self.words.append(m)
             self.edits.append(e)
-            self.masks.append(masks)
+            self.own.append(own)
         self.pieces = {}
-        for size, found in pieces.items():
-            found.sort()
-            hashes = np.array([f[0] for f in found], np.uint64)
+        for size, parts in found.items():
+            hashes, items, offsets = (np.concatenate(c) for c in zip(*parts, strict=True))
+            order = np.lexsort((offsets, items, hashes))
             seen = np.zeros(1 << SEEN_BITS, bool)     # lets nearly all words pass by without a search
             seen[hashes >> np.uint64(64 - SEEN_BITS)] = True
-            self.pieces[size] = (hashes, np.array([f[1] for f in found]), np.array([f[2] for f in found]), seen)
+            self.pieces[size] = (hashes[order], items[order].astype(np.int64), offsets[order].astype(np.int64), seen)
+        self.ready: dict[int, Masks] = {}
+
+    def masks(self, item: int) -> Masks:
+        """The masks of an item, kept for the items matched last."""
+        if item not in self.ready:
+            while self.ready and sum(len(self.own[i]) for i in self.ready) + len(self.own[item]) > READY_WORDS:
+                self.ready.pop(next(iter(self.ready)))
+            self.ready[item] = Masks(self.own[item])
+        return self.ready[item]
 
     def hits(self, words: np.ndarray):
         """(position, item, offset of the piece in the item) of all piece hits in a run of words."""
@@ -113,13 +148,13 @@ class Items:
                 while at < len(starts) and int(starts[at]) <= high + m + 2 * e:
                     high = int(starts[at])
                     at += 1
-                best = min(best, least_distance(m, self.masks[i], words[max(0, low):high + m + 2 * e].tolist()))
+                best = min(best, least_distance(m, self.masks(i), words[max(0, low):high + m + 2 * e].tolist()))
             if best <= e:
                 found.append((self.ids[i], best, e))
         return found
 
 
-def least_distance(m: int, masks: dict[int, int], text: list[int]) -> int:
+def least_distance(m: int, masks: dict[int, int] | Masks, text: list[int]) -> int:
     """Least edit distance between a pattern of m symbols and any part of the text (Myers, bit-parallel)."""
     full, top = (1 << m) - 1, 1 << (m - 1)
     up, down, score = full, 0, m

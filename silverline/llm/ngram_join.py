@@ -33,8 +33,8 @@ from silverline.llm.common import cut
 from silverline.llm.components import Forest, components
 from silverline.llm.wordhash import WordHasher, joined, mixed, text_slabs
 
-FLUSH_PAIRS = 1 << 20          # (signature, class) pairs a task holds before it passes them on
-PIECE_PAIRS = 1 << 17          # of them in one packed row
+FLUSH_PAIRS = 1 << 18          # (signature, class) pairs a task holds before it passes them on
+PIECE_PAIRS = 1 << 14          # of them in one packed row
 GROUP_PAIRS = 1 << 21          # pairs of one reducing task, about
 SKETCH_BYTES = 1 << 22         # sketches of one block of a loose family, about
 BLOCK_GRAMS = 1 << 18          # n-grams of one block of a family, about
@@ -387,7 +387,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 def describe(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """What one reading of the texts (``keyed``) gives, written once.
 
-    Rows without pairs: doc_id, digest, size, class and check (128 bits that
+    Rows without ``edges``: doc_id, digest, size, class and check (128 bits that
     name the set) and sketch of every document. The others hold packed pairs.
     """
     return cut(docs.mapInArrow(partial(_describe, n, num, den), _FOUND), "gram-classes")
@@ -396,14 +396,14 @@ def describe(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
 def _families(found: DataFrame, total: int, num: int, den: int) -> DataFrame:
     """(class, family) of the classes that share a part with another."""
     groups = max(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-3 * total * (den - num) // num // GROUP_PAIRS))
-    dealt = found.filter("pairs IS NOT NULL").select("pairs", "edges").mapInArrow(partial(_deal, groups), "grp int, pairs binary")
+    dealt = found.filter("edges IS NOT NULL").select("pairs", "edges").mapInArrow(partial(_deal, groups), "grp int, pairs binary")
     met = dealt.repartition(groups, "grp").groupBy("grp").applyInArrow(lambda key, table: _meet(key, table), "a long, b long")
     return _with_roots(components(met))
 
 
 def linked_classes(docs: DataFrame, found: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(class, root): classes that are linked to another, with the least class of their component."""
-    described = found.filter("pairs IS NULL")
+    described = found.filter("edges IS NULL")
     classes = described.filter("size > 0").groupBy("class", "check") \
         .agg(F.min(F.struct("doc_id", "digest")).alias("row"), F.max("size").alias("size"), F.max("sketch").alias("sketch")) \
         .select("class", "check", "row.*", "size", "sketch")
@@ -445,7 +445,7 @@ def join_documents(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -
 def _with_components(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """doc_id, digest, size, class, check of ``keyed`` rows, with their component: its root, least doc_id and first row."""
     found = describe(docs, n, num, den)
-    described = found.filter("pairs IS NULL").select("doc_id", "digest", "size", "class", "check")
+    described = found.filter("edges IS NULL").select("doc_id", "digest", "size", "class", "check")
     roots = linked_classes(docs, found, n, num, den)
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")
     classes = described.filter("size > 0").groupBy("class", "check").agg(F.min("doc_id").alias("least"), F.min(first).alias("first"))

@@ -66,3 +66,33 @@ def test_edges(spark):
     assert kept.columns == table.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 5]
     assert D.leaks(table.limit(0), bench).count() == 0
     assert D.leaks(table, bench.limit(0)).count() == 0 and D.without_leaks(table, bench.limit(0)).count() == len(docs)
+
+
+def test_masks_are_those_of_the_plain_table():
+    rng = random.Random(3)
+    for size in (1, 7, 8, 9, 900, 3000):
+        words = D.np.array([rng.randrange(1 + size // 3) for _ in range(size)], D.np.uint64)
+        plain, masks = {}, D.Masks(words)
+        for k, w in enumerate(words.tolist()):
+            plain[w] = plain.get(w, 0) | 1 << k
+        for w in [*plain, 10 ** 9, 10 ** 9 + 1]:
+            assert masks.get(w, 0) == masks.get(w) == plain.get(w, 0)
+
+
+def test_long_items_take_memory_by_their_words(spark):
+    import pickle
+
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(10 ** 6)}" for _ in range(200_000)]
+    block = D.Items([1], [" ".join(words)])
+    pieces = sum(a.nbytes for p in block.pieces.values() for a in p[:3])
+    assert len(pickle.dumps(block)) < 40 * len(words) + (len(block.pieces) << D.SEEN_BITS) and pieces < 24 * len(words)
+    masks = D.Masks(block.own[0])
+    masks.get(int(block.own[0][0]))
+    assert sum(m.bit_length() for m in masks.kept.values()) // 8 < 40 * len(words)
+    # an item of thousands of words, with edits, among others
+    item = words[:3000]
+    changed = [w if rng.random() > 0.1 else "changed" for w in item]
+    docs = [(1, " ".join(["before", *changed, "after"])), (2, " ".join(words[:1500])), (3, " ".join(words[1000:5000]))]
+    got = [tuple(r) for r in D.leaks(docs_of(spark, docs), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()]
+    assert got == [(1, 7, sum(a != b for a, b in zip(item, changed, strict=True)), 600)]
