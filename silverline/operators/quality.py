@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, DecimalType, StructType
 
 from ..contract import Contract
 from ..functions.parsing import bad_nested, more_than_one_value, parse_json, to_date_safe, to_int_safe
@@ -108,9 +108,13 @@ def conformance(lines: DataFrame, contract: Contract, value: str = "value") -> D
 FITTING = {"double": ("DOUBLE", "DECIMAL", "BIGINT"), "bigint": ("BIGINT",), "int": ("BIGINT",), "string": ("STRING",), "boolean": ("BOOLEAN",)}
 
 
-def _variant_type(ddl_type: str) -> str:
-    """A declared type as the variant functions write it, decimals without digits."""
-    return ddl_type.upper().replace("STRUCT<", "OBJECT<")
+def _variant_type(declared: DataType) -> str:
+    """A declared type as the variant functions write it: objects with their names in order, decimals without digits."""
+    if isinstance(declared, StructType):
+        return f"OBJECT<{', '.join(f'{f.name}: {_variant_type(f.dataType)}' for f in sorted(declared.fields, key=lambda f: f.name))}>"
+    if isinstance(declared, ArrayType):
+        return f"ARRAY<{_variant_type(declared.elementType)}>"
+    return "DECIMAL" if isinstance(declared, DecimalType) else declared.simpleString().upper()
 
 
 def contract_drift(lines: DataFrame, contract: Contract, value: str = "value") -> DataFrame:
@@ -133,10 +137,11 @@ def contract_drift(lines: DataFrame, contract: Contract, value: str = "value") -
     # a row for each field and type, and one for the records: small, whatever the lines
     counts = present.groupBy("column", "found").agg(F.count(F.lit(1)).alias("n_lines"))
     odd = read.groupBy("kind").agg(F.count(F.lit(1)).alias("n_lines"))
-    declared = StructType.fromDDL(contract.source_ddl).fields
-    expected = [(f.name, _variant_type(contract.nested_ddl if f.name == contract.nested_field else f.dataType.simpleString().upper()),
-                 [_variant_type(contract.nested_ddl), "ARRAY<VOID>"] if f.name == contract.nested_field
-                 else list(FITTING.get(f.dataType.simpleString(), (f.dataType.simpleString().upper(),)))) for f in declared]
+    nested, expected = StructType.fromDDL(f"x {contract.nested_ddl}")["x"].dataType, []
+    for f in StructType.fromDDL(contract.source_ddl).fields:
+        own = _variant_type(nested if f.name == contract.nested_field else f.dataType)
+        fitting = [own, "ARRAY<VOID>"] if own.startswith("ARRAY<") else list(FITTING.get(f.dataType.simpleString(), (own,)))
+        expected.append((f.name, own, fitting))
     wanted = lines.sparkSession.createDataFrame(expected, "column STRING, expected STRING, fitting ARRAY<STRING>")
     problem = F.when(F.col("expected").isNull(), "unexpected").when(F.col("found") == "VOID", "null") \
         .when(F.array_contains("fitting", F.col("found")), "none").otherwise("type")

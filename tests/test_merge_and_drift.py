@@ -68,6 +68,7 @@ def test_drift_sees_fields_outside_the_contract(spark):
     got = {(r.column, r.found, r.problem): r.n_lines for r in Q.contract_drift(lines, ORDER_CONTRACT).collect()}
     assert got["Extra", "BIGINT", "unexpected"] == 1 and got["Extra", "OBJECT<a: BIGINT>", "unexpected"] == 1
     assert got["Budget", "STRING", "type"] == 1 and got["Budget", "VOID", "null"] == 1 and got["Budget", "DECIMAL", "none"] == 6
+    assert got["genres", "ARRAY<OBJECT<id: BIGINT, name: STRING>>", "none"] == 6
     assert got["genres", "STRING", "type"] == 1 and got["genres", "ARRAY<VOID>", "none"] == 1
     assert got["Title", None, "missing"] == 1 and got["Budget", None, "missing"] == 1
     assert got["*", None, "malformed"] == 3 and got["*", None, "trailing_data"] == 2
