@@ -8,7 +8,9 @@ been met, since one of its segments is within s; a query is done once its k-th
 verified distance is within that, which makes its result exact.
 
 Equal codes are one entry, for queries as well, so copies cost nothing. Each
-index chunk passes on its k best codes of a query, never its candidates.
+index chunk passes on its k best codes of a query, never its candidates. Codes
+that agree on a segment share a chunk; a chunk of too many is cut into salted
+parts, and queries go to all of them.
 """
 
 from __future__ import annotations
@@ -73,6 +75,12 @@ def _chunk_bits(entries: int, width: int) -> int:
     return min(width, max(0, math.ceil(math.log2(max(entries, 1) / CHUNK_CODES)))) if entries else 0
 
 
+def _chunk_flips(width: int, shift: int, step: int) -> np.ndarray:
+    """What ``step`` flips of a segment's bits can do to its leading ones: any up to ``step`` flips that leave enough for the rest."""
+    leading = width - shift
+    return np.concatenate([masks(leading, n) for n in range(max(0, step - shift), min(step, leading) + 1)])
+
+
 def _index(parts: list, entries: int, batches):
     for batch in batches:
         codes = code_matrix(batch.column(0).to_pylist())
@@ -91,7 +99,7 @@ def _route(parts: list, entries: int, step: int, batches):
             if step > width:
                 continue
             shift = width - _chunk_bits(entries, width)
-            keys, flips = segment_keys(codes, first, width), np.unique(masks(width, step) >> shift)
+            keys, flips = segment_keys(codes, first, width), _chunk_flips(width, shift, step)
             chunk = (keys >> shift)[:, None] ^ flips
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(chunk.size, j), pa.int32()), pa.array(chunk.ravel()),
@@ -115,13 +123,18 @@ def _search(parts: list, step: int, k: int, index: pa.Table, probes: pa.Table) -
         words = np.ascontiguousarray(matrix).view(np.uint64)
         held, begin = np.unique(sorted_keys, return_index=True)
         end = np.append(begin[1:], len(sorted_keys))
-        flips = masks(width, step)
+        # where probes outnumber the values held, the values are compared instead
+        listed = math.comb(width, step) <= len(held)
+        flips = masks(width, step) if listed else None
         queries = probes.column("query").to_pylist()
         asked = code_matrix(queries)
         for query, key, code in zip(queries, segment_keys(asked, first, width), np.ascontiguousarray(asked).view(np.uint64), strict=True):
-            probe = flips ^ key
-            at = np.searchsorted(held, probe)
-            hit = at[(at < len(held)) & (held[np.minimum(at, len(held) - 1)] == probe)]
+            if listed:
+                probe = flips ^ key
+                at = np.searchsorted(held, probe)
+                hit = at[(at < len(held)) & (held[np.minimum(at, len(held) - 1)] == probe)]
+            else:
+                hit = np.flatnonzero(np.bitwise_count(held ^ key) == step)
             n = end[hit] - begin[hit]
             if not len(n):
                 continue
@@ -158,13 +171,19 @@ def top_k(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP) -> DataF
     entries = held.filter("n = 1").select("code", "id")
     size = entries.count()
     parts = segments(bits, size)
-    index = cut(entries.mapInArrow(partial(_index, parts, size), "segment int, chunk long, code binary, id long"), "code-index")
+    rows = entries.mapInArrow(partial(_index, parts, size), "segment int, chunk long, code binary, id long")
+    # chunks that many codes share: there are no more than codes fill, each counted once per segment
+    large = cut(rows.groupBy("segment", "chunk").agg(F.ceil(F.count(F.lit(1)) / CHUNK_CODES).cast("int").alias("salts")).filter("salts > 1"), "code-chunks")
+    salts = F.coalesce(F.col("salts"), F.lit(1))
+    index = cut(rows.join(large, ["segment", "chunk"], "left").withColumn("salt", F.pmod(F.xxhash64("code"), salts).cast("int")).drop("salts"), "code-index")
     asked = cut(codes.filter(F.col("id") % query_step == 0).select(F.col("code").alias("query")).distinct(), "code-queries")
     best, open_queries, step, covered = None, asked, 0, -1
     per_query = Window.partitionBy("query").orderBy("distance", "id")
     while step <= max(width for _, width in parts) and not open_queries.isEmpty():
         probes = open_queries.mapInArrow(partial(_route, parts, size, step), "segment int, chunk long, query binary")
-        found = index.groupBy("segment", "chunk").cogroup(probes.groupBy("segment", "chunk")) \
+        probes = probes.join(large, ["segment", "chunk"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+        key = ["segment", "chunk", "salt"]
+        found = index.groupBy(*key).cogroup(probes.groupBy(*key)) \
             .applyInArrow(partial(_search, parts, step, k), _FOUND)
         merged = found if best is None else best.unionByName(found)
         best = cut(merged.distinct().withColumn("n", F.row_number().over(per_query)).filter(F.col("n") <= k).drop("n"), "codes-best")

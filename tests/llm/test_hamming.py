@@ -52,3 +52,22 @@ def test_segments():
     for bits in (1, 7, 64, 100, 1000):
         parts = H.segments(bits, 50000)
         assert sum(w for _, w in parts) == bits and all(a + w == b for (a, w), (b, _) in zip(parts, parts[1:], strict=False))
+
+
+def test_a_hot_segment_value(spark, monkeypatch):
+    """A third of the codes agree on a segment; its chunk is cut, and far steps are compared, not probed."""
+    monkeypatch.setattr(H, "CHUNK_CODES", 16)
+    rng = random.Random(4)
+    fixed = [rng.choice([-1.0, 1.0]) for _ in range(32)]
+    rows = [(i, (fixed if i % 3 == 0 else [rng.uniform(-1, 1) for _ in range(32)]) + [rng.uniform(-1, 1) for _ in range(32)]) for i in range(330)]
+    rows += [(1000, [-x for x in rows[0][1]]), (1010, [1.0] * 64)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert sorted(map(tuple, H.top_k(table, k=9, query_step=10).collect())) == expected(rows, 9, 10)
+
+
+def test_chunk_flips_are_those_of_the_masks():
+    for width in (1, 5, 9):
+        for shift in range(width + 1):
+            for step in range(width + 1):
+                want = sorted(set((H.masks(width, step) >> shift).tolist()))
+                assert sorted(H._chunk_flips(width, shift, step).tolist()) == want
