@@ -15,7 +15,7 @@ from silverline.contract import ORDER_CONTRACT  # noqa: E402
 from silverline.fixtures import order_feed as feed  # noqa: E402
 from silverline.operators import derive as D  # noqa: E402
 from silverline.operators import routing as R  # noqa: E402
-from silverline.plans.store import MedallionStore  # noqa: E402
+from silverline.plans.store import MedallionStore, row_key  # noqa: E402
 from silverline.session import build_session, scratch_path  # noqa: E402
 
 
@@ -39,6 +39,8 @@ def main() -> None:
         "silver wide write": D.silver_wide(R.dedupe_records(clean), ORDER_CONTRACT)
             .hint("rebalance", ORDER_CONTRACT.partition_column),
         "genre rows": D.genre_rows(st, ORDER_CONTRACT),
+        "append to a narrow table": store._unknown(
+            D.exploded_genres(st, ORDER_CONTRACT).withColumn("row_key", row_key(["source_id", "genres_id", "name"])), "genre", "row_key", []),
         "open bronze, status = new": store.open_rows().where(F.col("status") == "new"),
         "apply_status (general merge)": Rg.q_stage_status(spark, sf),
         "bridge_join": Rg.q_bridge_join(spark, sf),
