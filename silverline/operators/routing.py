@@ -31,7 +31,9 @@ def parse_records(df: DataFrame, contract: Contract, value: str = "value") -> Da
     keep = [F.col(c) for c in df.columns]
     wrapped = df.select(*keep, parse_wrapped(value, contract.source_ddl).alias(WRAPPED)) \
         .select("*", is_single(F.col(WRAPPED), value).alias(SINGLE))
-    parsed = wrapped.select(*keep, SINGLE, parse_line(F.col(WRAPPED), F.col(SINGLE), value, contract.source_ddl).alias(PARSED))
+    record = F.struct(F.col(SINGLE).alias(SINGLE), parse_line(F.col(WRAPPED), F.col(SINGLE), value, contract.source_ddl).alias(PARSED))
+    # a generator of one row: filters on what was parsed stop here, where they would else repeat the parse in their conditions
+    parsed = wrapped.select(*keep, F.explode(F.array(record)).alias("_read")).select(*keep, f"_read.{SINGLE}", f"_read.{PARSED}")
     fields = [F.col(f"{PARSED}.{name}").alias(name) for name in contract.source_fields]
     flat = parsed.select(*keep, *fields, reasons_column(record_checks(contract, value, single=SINGLE)).alias("_checks"))
     return flat.select(*keep, F.col(contract.key_field).alias("source_id"), *typed_columns(contract), "_checks")

@@ -36,6 +36,12 @@ def test_routed_batch_parses_json_once(spark):
     assert sum(line.count("json_array_length") + line.count("json_object_keys") for line in optimized.splitlines()) <= 2
 
 
+def test_a_filter_on_the_route_does_not_repeat_the_parse(spark):
+    for df in R.split(Rg.routed(spark, SMALL_SF)):
+        optimized = plan_text(df.select("value"), "extended").split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+        assert optimized.count("from_json(StructField(_record") == 1 and optimized.count("from_json(StructField(Id") <= 1
+
+
 def test_open_bronze_status_filter_is_a_partition_filter(spark):
     store = MedallionStore(spark, scratch_path(spark, "plan"), ORDER_CONTRACT)
     store.ingest_lines(Rg.lines(spark, SMALL_SF))
