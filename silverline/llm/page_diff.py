@@ -195,27 +195,28 @@ def common_lines(own: list, other: list) -> set[int]:
 
 
 def _hash(line: str) -> int:
-    return int.from_bytes(blake2b(line.encode(), digest_size=8).digest(), "little", signed=True)
+    """32 bits: lines are only compared within a host."""
+    return int.from_bytes(blake2b(line.encode(), digest_size=4).digest(), "little", signed=True)
 
 
-_PARSED = ("page_id long, url string, marked boolean, blocks array<string>, lines array<long>, body array<boolean>, hashes array<long>, "
-           "sizes array<int>, digest binary")
+_PARSED = ("page_id long, url string, marked boolean, blocks array<string>, digest binary, lines array<int>, body array<boolean>, "
+           "form binary")
 
 
 def _parse(batches):
-    """Blocks of each page with their hashes (``lines``), which of them are its body, and the body's hashes, sizes and digest."""
-    kinds = (pa.bool_(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary())
-    names = ["page_id", "url", "marked", "blocks", "lines", "body", "hashes", "sizes", "digest"]
+    """The body's blocks of each page with a digest, and the hashes of all blocks (``lines``, digest ``form``) and which are its body."""
+    kinds = (pa.bool_(), pa.list_(pa.string()), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.binary())
+    names = [f.split()[0] for f in _PARSED.split(", ")]
     for batch in batches:
         rows = []
         for page in batch.column(2).to_pylist():
             found = blocks_of(page or "")
             best = max((rank for _, rank in found), default=0)
             blocks, body = [b for b, _ in found], [rank >= max(best, 0) for _, rank in found]
+            own = [b for b, k in zip(blocks, body, strict=True) if k]
             lines = [_hash(b) for b in blocks]
-            own = [i for i, b in enumerate(body) if b]
-            digest = blake2b("\0".join(blocks[i] for i in own).encode(), digest_size=16).digest()
-            rows.append((best > 0, blocks, lines, body, [lines[i] for i in own], [len(blocks[i]) for i in own], digest))
+            digest, form = (blake2b(x, digest_size=16).digest() for x in ("\0".join(own).encode(), repr((lines, body)).encode()))
+            rows.append((best > 0, own, digest, lines, body, form))
         columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names)
 
@@ -229,23 +230,24 @@ def _shared_prefix(a: str, b: str) -> int:
     return n
 
 
-_KEPT = "page_id long, url string, kept array<string>, kept_lines array<long>, shared array<long>, by_difference int, by_markup int"
+_KEPT = "host string, address string, marked boolean, form binary, kept array<int>, kept_lines array<int>, shared array<int>, by_difference int, by_markup int"
 
 
 def _difference(batches):
-    """What stays of each page, the lines of its article that the partner has too, and how many blocks went which way."""
-    kinds = (pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32(), pa.int32())
+    """Which blocks of each page's body stay, which of its lines the partner has too, and how many blocks went which way."""
+    kinds = (pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.int32())
     for batch in batches:
         rows = []
-        for row in batch.select(["marked", "blocks", "lines", "body", "partner"]).to_pylist():
+        for row in batch.select(["marked", "lines", "body", "partner"]).to_pylist():
             lines, body = row["lines"], row["body"]
             shared = common_lines(lines, row["partner"]) if row["partner"] is not None else set()
-            stays = [i for i, b in enumerate(body) if b and (row["marked"] or i not in shared)]
+            own = [i for i, b in enumerate(body) if b]
+            kept = [k for k, i in enumerate(own) if row["marked"] or i not in shared]
+            stays = [own[k] for k in kept]
             gone = set(range(len(lines))).difference(stays)
-            rows.append(([row["blocks"][i] for i in stays], [lines[i] for i in stays], sorted({lines[i] for i in stays if i in shared}),
-                         len(gone & shared), len(gone - shared)))
+            rows.append((kept, [lines[i] for i in stays], sorted({lines[i] for i in stays if i in shared}), len(gone & shared), len(gone - shared)))
         columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))],
+        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))],
                                          [f.split()[0] for f in _KEPT.split(", ")])
 
 
@@ -279,7 +281,7 @@ def _runs(rows: list[dict]) -> list[tuple[int, int]]:
     return list(zip(starts, [*starts[1:], len(rows)], strict=True))
 
 
-_SLIM = "host string, path string, address string, digest binary, hashes array<long>, sizes array<int>, lines array<long>"
+_SLIM = "host string, path string, address string, digest binary, hashes array<int>, sizes array<int>, lines array<int>"
 _EDGE = f"part int, place string, {_SLIM}"
 
 
@@ -300,7 +302,7 @@ def _edges(group: pa.Table) -> pa.Table:
             found["prior"] = leader - 1
     return pa.Table.from_pylist([{**rows[i], "place": place} for place, i in found.items()], schema=pa.schema([
         ("part", pa.int32()), ("place", pa.string()), ("host", pa.string()), ("path", pa.string()), ("address", pa.string()),
-        ("digest", pa.binary()), ("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("lines", pa.list_(pa.int64()))]))
+        ("digest", pa.binary()), ("hashes", pa.list_(pa.int32())), ("sizes", pa.list_(pa.int32())), ("lines", pa.list_(pa.int32()))]))
 
 
 def _carried(ranges: list[dict]) -> list[tuple[dict | None, ...]]:
@@ -359,21 +361,32 @@ def nearest(lines: DataFrame) -> DataFrame:
                     out["digest"].append(row["digest"])
                     out["partner"].append(max(near, key=lambda r: _shared_prefix(row["path"], r["path"]))["lines"])
         return pa.table([pa.array(out["address"], pa.string()), pa.array(out["digest"], pa.binary()),
-                         pa.array(out["partner"], pa.list_(pa.int64()))], ["address", "digest", "partner"])
+                         pa.array(out["partner"], pa.list_(pa.int32()))], ["address", "digest", "partner"])
+
+    return ranged.groupBy("part").applyInArrow(partners, "address string, digest binary, partner array<int>")
+
 
-    return ranged.groupBy("part").applyInArrow(partners, "address string, digest binary, partner array<long>")
+def read_blocks(pages: DataFrame) -> DataFrame:
+    """The parsed pages (``_PARSED``) with address and host, written once."""
+    parsed = pages.select("page_id", "url", "html").mapInArrow(_parse, _PARSED)
+    return cut(parsed.withColumns({"address": F.coalesce("url", F.lit("")), "host": host_of(F.col("url"))}), "page-blocks")
 
 
-def decide(pages: DataFrame) -> DataFrame:
-    """page_id, url, kept (blocks), kept_lines (their hashes), shared (lines of the article that the partner has), host, digest,
-    and how many blocks went by differencing and how many by markup alone."""
-    parsed = cut(pages.select("page_id", "url", "html").mapInArrow(_parse, _PARSED).withColumn("address", F.coalesce("url", F.lit(""))), "page-blocks")
-    hosts = parsed.withColumn("host", host_of(F.col("url")))
+def hashes_of_body() -> F.Column:
+    return F.filter("lines", lambda _, i: F.col("body")[i])
+
+
+def decide(parsed: DataFrame) -> DataFrame:
+    """A row for each page, known by address and form: host, kept (positions in the body), kept_lines (their hashes), shared (lines
+    that stay and the partner has), and how many blocks went by differencing and how many by markup alone. No text moves.
+    """
     kind = F.concat_ws("\x1f", "host", "marked").alias("host")        # pages that mark their article are paired among themselves
-    lines = hosts.filter(F.size("lines") > 0).select(kind, path_of(F.col("url")).alias("path"), "address", "digest", "hashes", "sizes", "lines")
-    paired = hosts.join(nearest(lines), ["address", "digest"], "left")
-    kept = paired.select("page_id", "url", "marked", "blocks", "lines", "body", "partner").mapInArrow(_difference, _KEPT)
-    return cut(kept.withColumn("host", host_of(F.col("url"))), "page-kept")
+    lines = parsed.filter(F.size("lines") > 0).select(
+        kind, path_of(F.col("url")).alias("path"), "address", "digest", hashes_of_body().alias("hashes"),
+        F.transform("blocks", lambda b: F.char_length(b)).alias("sizes"), "lines")
+    slim = parsed.select("host", "address", "marked", "form", "lines", "body", "digest")
+    return cut(slim.join(nearest(lines), ["address", "digest"], "left").select("host", "address", "marked", "form", "lines", "body", "partner")
+               .mapInArrow(_difference, _KEPT), "page-kept")
 
 
 def notices(kept: DataFrame) -> DataFrame:
@@ -381,7 +394,9 @@ def notices(kept: DataFrame) -> DataFrame:
 
     Only lines that some page shares with its partner are counted. Pages with equal articles are one page.
     """
-    told = kept.filter(F.size("kept_lines") > 0).select("host", "kept_lines", F.hash("kept_lines").alias("a"), F.xxhash64("kept_lines").alias("b")) \
+    some = kept.filter(F.size("shared") > 0).select("host").distinct()
+    told = kept.filter(F.size("kept_lines") > 0).join(some, "host", "left_semi") \
+        .select("host", "kept_lines", F.hash("kept_lines").alias("a"), F.xxhash64("kept_lines").alias("b")) \
         .dropDuplicates(["host", "a", "b"])
     pages = told.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= NOTICE_PAGES)
     asked = kept.select("host", F.explode("shared").alias("line")).distinct().join(pages, "host")
@@ -399,9 +414,13 @@ def extract(pages: DataFrame) -> DataFrame:
     are not left out by their markup; so repeated rows, which each stay, and equal
     pages lose nothing to each other. No other columns are read.
     """
-    kept = decide(pages)
+    parsed = read_blocks(pages)
+    kept = decide(parsed)
     every = notices(kept).select(F.col("host").alias("_host"), "notices")
-    left = kept.join(every, F.col("host") == F.col("_host"), "left").withColumn("numbered", F.arrays_zip("kept", "kept_lines"))
-    stays = F.filter("numbered", lambda b: ~F.coalesce(F.array_contains(F.col("notices"), b["kept_lines"]), F.lit(False)))
-    return left.withColumn("text", F.array_join(F.transform(stays, lambda b: b["kept"]), "\n\n")) \
+    silent = parsed.filter("NOT marked").join(kept.filter("NOT marked").select("address", "form", "kept").dropDuplicates(["address", "form"]), ["address", "form"]) \
+        .withColumn("hashes", F.transform("kept", lambda k: hashes_of_body()[k])).withColumn("blocks", F.transform("kept", lambda k: F.col("blocks")[k]))
+    columns = ["page_id", "url", "host", "blocks", "hashes"]
+    left = parsed.filter("marked").withColumn("hashes", hashes_of_body()).select(*columns).unionByName(silent.select(*columns)).join(every, F.col("host") == F.col("_host"), "left")
+    stays = F.filter(F.arrays_zip("blocks", "hashes"), lambda b: ~F.coalesce(F.array_contains(F.col("notices"), b["hashes"]), F.lit(False)))
+    return left.withColumn("text", F.array_join(F.transform(stays, lambda b: b["blocks"]), "\n\n")) \
         .select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -138,7 +138,7 @@ def test_notices_of_every_article_go(spark):
 def test_differencing_decides_blocks_of_the_table(spark):
     """Counts by an independent version: partners in path order among rows that differ, and sets of lines."""
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
-    kept = P.decide(pages).collect()
+    kept = P.decide(P.read_blocks(pages)).collect()
     assert sum(r["by_difference"] for r in kept) > 0 and sum(r["by_markup"] for r in kept) > 0
     lines = {}
     for r in pages.collect():
@@ -148,13 +148,13 @@ def test_differencing_decides_blocks_of_the_table(spark):
     place = {u: (re.match("[^:]*://([^/?#]*)", u)[1].lower(), re.match("[^:]*://[^/?#]*([^?#]*)", u)[1], u) for u in lines}
     order = sorted(lines, key=place.get)
     for r in kept:
-        at = order.index(r["url"])
-        beside = [order[i] for i in (at - 1, at + 1) if 0 <= i < len(order) and place[order[i]][0] == place[r["url"]][0]]
-        own, article = lines[r["url"]]
+        at = order.index(r["address"])
+        beside = [order[i] for i in (at - 1, at + 1) if 0 <= i < len(order) and place[order[i]][0] == place[r["address"]][0]]
+        own, article = lines[r["address"]]
         assert r["by_difference"] + r["by_markup"] == sum(b not in article for b in own)
         if any(len(lines[u][1] & article) > len(article) / 2 for u in beside):
             continue                                                               # copies: the partner is further off
-        most = max((P._shared_prefix(place[u][1], place[r["url"]][1]) for u in beside), default=0)
+        most = max((P._shared_prefix(place[u][1], place[r["address"]][1]) for u in beside), default=0)
         counts = {sum(i in P.common_lines(own, lines[u][0]) and b not in article for i, b in enumerate(own)) for u in beside
-                  if P._shared_prefix(place[u][1], place[r["url"]][1]) == most} or {0}
+                  if P._shared_prefix(place[u][1], place[r["address"]][1]) == most} or {0}
         assert r["by_difference"] in counts
