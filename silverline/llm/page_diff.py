@@ -49,6 +49,7 @@ DROPPED_WORDS = frozenset("""ad ads adbox advert adverts advertisement advertisi
 MAIN_WORDS = frozenset("""article content maincontent postcontent entrycontent articlebody articlecontent postbody storybody
     entry post story""".split())
 
+RANGE_ROWS = 1 << 15    # pages of one range of the sort at most, about
 NOTICE_PAGES = 5        # a host of fewer different pages does not tell its notices
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|</[^>]*>""", re.S)
@@ -335,12 +336,13 @@ def nearest(lines: DataFrame) -> DataFrame:
     or beyond ranges full of copies, is found too. Rows without a partner are left out.
     """
     slim = lines.dropDuplicates(["address", "digest"])
-    ranged = cut(slim.repartitionByRange("host", "path", "address", "digest").withColumn("part", F.spark_partition_id()), "page-order")
-    ranges: dict[int, dict] = defaultdict(dict)
+    ranges = max(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-lines.count() // RANGE_ROWS))
+    ranged = cut(slim.repartitionByRange(ranges, "host", "path", "address", "digest").withColumn("part", F.spark_partition_id()), "page-order")
+    edges: dict[int, dict] = defaultdict(dict)
     for row in ranged.groupBy("part").applyInArrow(_edges, _EDGE).collect():
-        ranges[row["part"]][row["place"]] = {**row.asDict(), "digest": bytes(row["digest"])}
-    parts = sorted(ranges)
-    carried = dict(zip(parts, _carried([ranges[p] for p in parts]), strict=True))
+        edges[row["part"]][row["place"]] = {**row.asDict(), "digest": bytes(row["digest"])}
+    parts = sorted(edges)
+    carried = dict(zip(parts, _carried([edges[p] for p in parts]), strict=True))
 
     def partners(group: pa.Table) -> pa.Table:
         rows = _in_order(group)
