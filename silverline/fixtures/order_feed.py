@@ -16,9 +16,13 @@ parts (partial aggregation runs before that shuffle).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import partitions_for
+
 GENRE_DDL = "ARRAY<STRUCT<id: BIGINT, name: STRING>>"
 RECORD_FIELDS = ["Id", "Title", "Budget", "RunTime", "OriginalLanguage", "ReleaseDate", "genres"]
 # Keys per multi-line source document: documents are bounded by construction.
@@ -29,6 +33,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _dealt(partitions: int | None) -> Callable[[DataFrame, str], DataFrame]:
+    """A frame dealt by a column into so many partitions, or left to the session's setting."""
+    return lambda df, column: df if partitions is None else df.repartition(partitions, column)
+
+
 def order_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(k, genres_id, name): distinct parts of each order's line items."""
     li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
@@ -46,14 +55,16 @@ def feed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    # collect_set dedupes (id, name) in the partial aggregate before the one
-    # shuffle on the order key; array_sort orders each list by id.
-    genres = (li.join(part, li.l_partkey == part.p_partkey)
+    # Sorted rows of a task stay in memory at any size of the tables: the shuffles
+    # get more partitions than the session's where the line items ask for them.
+    dealt = _dealt(partitions_for(spark, li.count()))
+    # collect_set dedupes (id, name); array_sort orders each list by id.
+    genres = (dealt(dealt(li, "l_partkey").join(dealt(part, "p_partkey"), F.col("l_partkey") == F.col("p_partkey")), "l_orderkey")
               .groupBy(F.col("l_orderkey").alias("k"))
               .agg(F.array_sort(F.collect_set(F.struct(F.col("p_partkey").alias("id"),
                                                        F.col("p_name").alias("name")))).alias("genres")))
     k = F.col("o_orderkey")
-    base = (orders.join(customer, orders.o_custkey == customer.c_custkey)
+    base = (dealt(orders.join(customer, orders.o_custkey == customer.c_custkey), "o_orderkey")
             .join(genres, k == genres.k, "left")
             .select(
                 k.alias("k"),
@@ -86,14 +97,25 @@ def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     rec = feed_records(spark, sf_dir)
     doc_id = F.floor(F.col("k") / KEYS_PER_DOCUMENT).cast("bigint")
-    return (rec.select(doc_id.alias("doc_id"), F.struct(*RECORD_FIELDS).alias("m"))
+    dealt = _dealt(partitions_for(spark, _table(spark, sf_dir, "lineitem").count()))
+    return (dealt(rec.select(doc_id.alias("doc_id"), F.struct(*RECORD_FIELDS).alias("m")), "doc_id")
             .groupBy("doc_id").agg(F.collect_list("m").alias("movie"))
             .select("doc_id", F.to_json(F.struct("movie")).alias("doc")))
 
 
 def write_documents(docs: DataFrame, path: str) -> str:
-    """Write one document per file: ``path/doc_id=<n>/part-*.txt`` (one line each)."""
-    (docs.repartition("doc_id").write.mode("errorifexists").partitionBy("doc_id").text(path))
+    """Write one document per file: ``path/doc_id=<n>/part-*.txt`` (one line each).
+
+    A row is a document, so it is a file whichever task writes it."""
+    docs.write.mode("errorifexists").partitionBy("doc_id").text(path)
+    return path
+
+
+def copy_documents(spark: SparkSession, source: str, path: str) -> str:
+    """The documents below ``source`` once more, compressed; nothing is derived or shuffled again."""
+    docs = spark.read.schema("value STRING, doc_id BIGINT").option("wholetext", True).text(source)
+    (docs.select(F.regexp_replace("value", r"\n$", "").alias("value"), "doc_id")
+     .write.mode("errorifexists").option("compression", "gzip").partitionBy("doc_id").text(path))
     return path
 
 

@@ -59,18 +59,17 @@ def _cached(spark: SparkSession, sf_dir: str, name: str, make: Callable[[str], N
 
 
 def raw_feed_path(spark: SparkSession, sf_dir: str) -> str:
-    """The feed's raw JSON lines, written once per session as text files."""
+    """The feed's raw JSON lines, written once per session as compressed text files."""
     return _cached(spark, sf_dir, "raw-feed",
-                   lambda p: feed.feed_lines(spark, sf_dir).write.mode("errorifexists").text(p))
+                   lambda p: feed.feed_lines(spark, sf_dir).write.mode("errorifexists").option("compression", "gzip").text(p))
 
 
 def source_docs_root(spark: SparkSession, sf_dir: str) -> str:
     """Multi-line source documents in ``<root>/movie_feed``; ``<root>/extra_feed``
     holds a second copy that path selection must leave out."""
     def make(root: str) -> None:
-        docs = feed.feed_documents(spark, sf_dir)
-        feed.write_documents(docs, f"{root}/movie_feed")
-        feed.write_documents(docs, f"{root}/extra_feed")
+        feed.write_documents(feed.feed_documents(spark, sf_dir), f"{root}/movie_feed")
+        feed.copy_documents(spark, f"{root}/movie_feed", f"{root}/extra_feed")
     return _cached(spark, sf_dir, "source-docs", make)
 
 

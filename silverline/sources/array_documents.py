@@ -184,6 +184,11 @@ def _split_size(spark: SparkSession, size: int | None) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def _bytes(spark: SparkSession, size: str) -> int:
+    """A size as Spark writes it, such as ``128MB``."""
+    return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+
+
 def _written(df: DataFrame, tag: str) -> DataFrame:
     path = scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
@@ -194,17 +199,22 @@ def read_array_elements(spark: SparkSession, paths: str | list[str], field: str
     """(source_file, value): the JSON text of each element of the array ``field`` of every document, one document a file.
 
     ``paths`` may hold glob patterns. Without ``field`` the document itself is the
-    array. Splits have ``split_bytes`` (by default spark.sql.files.maxPartitionBytes).
+    array. Splits have ``split_bytes`` (by default spark.sql.files.maxPartitionBytes);
+    a task reads as many smaller ones as that setting holds.
     Elements come as they are written, in no order; documents without the field
     give none. Documents have to be valid UTF-8 JSON; the field's name holds no ``}``.
     The entry states, some numbers for each split, are broadcast.
     """
     level = 0 if field is None else 1
     wanted = F.lit("" if field is None else field)
+    task_bytes = _bytes(spark, spark.conf.get("spark.sql.files.maxPartitionBytes"))
     with _split_size(spark, split_bytes):
         pieces = spark.read.schema("value STRING").option("lineSep", PIECE_END).option("recursiveFileLookup", True) \
             .text(paths if isinstance(paths, list) else [paths]) \
             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+        if split_bytes and split_bytes < task_bytes:          # a task reads small splits one after the other
+            splits = pieces.rdd.getNumPartitions()
+            pieces = pieces.coalesce(max(spark.sparkContext.defaultParallelism, -(-splits * split_bytes // task_bytes)))
         effects = _written(pieces.mapInArrow(_effects, _EFFECT), "array-effects")
         before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
         entered = effects.withColumn("inside", F.coalesce(F.sum("turns").over(before) % 2, F.lit(0)).cast("int"))
