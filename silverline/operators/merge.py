@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .bronze import BRONZE_DDL, apply_status, keyed_updates
 
 BUCKET = "bucket"
+CODEC = "zstd"          # a merge writes whole lines again
 
 
 def bucket_of(key: str, buckets: int) -> Column:
@@ -23,7 +24,8 @@ def bucket_of(key: str, buckets: int) -> Column:
 
 def write_buckets(bronze: DataFrame, path: str, buckets: int) -> str:
     """Write a bronze frame (with ``record_key``) as a new bucketed table; a bucket is written by few tasks."""
-    bronze.withColumn(BUCKET, bucket_of("record_key", buckets)).hint("rebalance", BUCKET).write.mode("errorifexists").partitionBy(BUCKET).parquet(path)
+    bronze.withColumn(BUCKET, bucket_of("record_key", buckets)).hint("rebalance", BUCKET).write.mode("errorifexists").option("compression", CODEC) \
+        .partitionBy(BUCKET).parquet(path)
     return path
 
 
@@ -48,5 +50,6 @@ def merge_status(spark: SparkSession, path: str, updates: DataFrame, buckets: in
     if touched:
         rows = held.where(F.col(BUCKET).isin(touched))
         merged = apply_status(rows, updates, status)
-        merged.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+        merged.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC) \
+            .partitionBy(BUCKET).parquet(path)
     return touched
