@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+import zlib
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from hashlib import blake2b
@@ -54,7 +55,6 @@ NOTICE_PAGES = 5        # a host of fewer different pages does not tell its noti
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|</[^>]*>""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)|([^\s=/>"']+)""")
-_BLANKS = re.compile(r"\s+")
 _PARTS = re.compile(r"[^a-z0-9]+")
 
 
@@ -104,10 +104,11 @@ def blocks_of(page: str) -> list[tuple[str, int]]:
 
     def end_block():
         for pieces, rank in ((lost, -1), (text, 2 if main else 1 if weak else 0)):
-            joined = _BLANKS.sub(" ", entities.unescape("".join(pieces))).strip()
-            pieces.clear()
-            if joined:
-                blocks.append((joined, rank))
+            if pieces:
+                joined = " ".join(entities.unescape("".join(pieces)).split())
+                pieces.clear()
+                if joined:
+                    blocks.append((joined, rank))
 
     def add(piece: str):
         if piece:
@@ -200,26 +201,68 @@ def _hash(line: str) -> int:
     return int.from_bytes(blake2b(line.encode(), digest_size=4).digest(), "little", signed=True)
 
 
-_PARSED = ("page_id long, url string, marked boolean, blocks array<string>, digest binary, lines array<int>, body array<boolean>, "
-           "form binary")
+_PARSED = "url string, marked boolean, digest binary, form binary, lines array<int>, sizes array<int>, body array<boolean>"
+_TEXTS = "page_id long, url string, form binary, packed binary"
+
+
+def _arrow(schema: str) -> pa.Schema:
+    kinds = {"string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(), "int": pa.int32(), "long": pa.int64(),
+             "array<int>": pa.list_(pa.int32()), "array<boolean>": pa.list_(pa.bool_())}
+    return pa.schema([(name, kinds[kind]) for name, kind in map(str.split, schema.split(", "))])
+
+
+def _batch(columns: list, rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    """The given columns, then those of ``rows``."""
+    made = zip(*rows, strict=True) if rows else [()] * (len(schema) - len(columns))
+    kinds = schema.types[len(columns):]
+    return pa.RecordBatch.from_arrays([*columns, *(pa.array(c, t) for c, t in zip(made, kinds, strict=True))], schema=schema)
+
+
+def _read(page: str | None) -> tuple[bool, list[str], list[int], list[bool], bytes, bytes]:
+    """Whether a page marks its article, the blocks of its body, the hashes of all blocks, which are its body, and the digests of the
+    body and of all of these (``form``)."""
+    found = blocks_of(page or "")
+    best = max((rank for _, rank in found), default=0)
+    body = [rank >= max(best, 0) for _, rank in found]
+    own, lines = [b for (b, _), k in zip(found, body, strict=True) if k], [_hash(b) for b, _ in found]
+    digest = blake2b("\0".join(own).encode(), digest_size=16).digest()
+    return best > 0, own, lines, body, digest, blake2b(repr((lines, body, best > 0, digest)).encode(), digest_size=16).digest()
 
 
 def _parse(batches):
-    """The body's blocks of each page with a digest, and the hashes of all blocks (``lines``, digest ``form``) and which are its body."""
-    kinds = (pa.bool_(), pa.list_(pa.string()), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.binary())
-    names = [f.split()[0] for f in _PARSED.split(", ")]
+    """What tells pages apart, without their text: a row for each url and form of a task."""
+    schema, seen = _arrow(_PARSED), set()
+    for batch in batches:
+        rows = []
+        for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            marked, own, lines, body, digest, form = _read(page)
+            if (url, form) not in seen:
+                seen.add((url, form))
+                rows.append((url, marked, digest, form, lines, [len(b) for b in own], body))
+        yield _batch([], rows, schema)
+
+
+def _pack(batches):
+    """The body of each page, packed, as its blocks hold no line break."""
+    schema = _arrow(_TEXTS)
     for batch in batches:
         rows = []
         for page in batch.column(2).to_pylist():
-            found = blocks_of(page or "")
-            best = max((rank for _, rank in found), default=0)
-            blocks, body = [b for b, _ in found], [rank >= max(best, 0) for _, rank in found]
-            own = [b for b, k in zip(blocks, body, strict=True) if k]
-            lines = [_hash(b) for b in blocks]
-            digest, form = (blake2b(x, digest_size=16).digest() for x in ("\0".join(own).encode(), repr((lines, body)).encode()))
-            rows.append((best > 0, own, digest, lines, body, form))
-        columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names)
+            _, own, _, _, _, form = _read(page)
+            rows.append((form, zlib.compress("\n".join(own).encode(), 1)))
+        yield _batch([batch.column(0), batch.column(1)], rows, schema)
+
+
+def _unpack(batches):
+    """The text of each page without the blocks at the positions ``lost``."""
+    schema = _arrow(_OUT)
+    for batch in batches:
+        rows = []
+        for packed, lost in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            blocks, gone = zlib.decompress(packed).decode().split("\n"), frozenset(lost or ())
+            text = "\n\n".join([b for i, b in enumerate(blocks) if i not in gone] if gone else blocks)
+            rows.append((text, len(text)))
+        yield _batch([batch.column(0), batch.column(1)], rows, schema)
 
 
 def _shared_prefix(a: str, b: str) -> int:
@@ -231,25 +274,22 @@ def _shared_prefix(a: str, b: str) -> int:
     return n
 
 
-_KEPT = "host string, address string, marked boolean, form binary, kept array<int>, kept_lines array<int>, shared array<int>, by_difference int, by_markup int"
+_OUT = "page_id long, url string, text string, n_chars long"
+_KEPT = ("host string, address string, marked boolean, form binary, kept array<int>, kept_lines array<int>, shared array<int>, "
+         "lost array<int>, by_difference int, by_markup int")
 
 
-def _difference(batches):
-    """Which blocks of each page's body stay, which of its lines the partner has too, and how many blocks went which way."""
-    kinds = (pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.int32())
-    for batch in batches:
-        rows = []
-        for row in batch.select(["marked", "lines", "body", "partner"]).to_pylist():
-            lines, body = row["lines"], row["body"]
-            shared = common_lines(lines, row["partner"]) if row["partner"] is not None else set()
-            own = [i for i, b in enumerate(body) if b]
-            kept = [k for k, i in enumerate(own) if row["marked"] or i not in shared]
-            stays = [own[k] for k in kept]
-            gone = set(range(len(lines))).difference(stays)
-            rows.append((kept, [lines[i] for i in stays], sorted({lines[i] for i in stays if i in shared}), len(gone & shared), len(gone - shared)))
-        columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
-        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))],
-                                         [f.split()[0] for f in _KEPT.split(", ")])
+def _difference(row: dict, partner: list[int] | None) -> dict:
+    """Which blocks of a page's body stay and which go, which of its lines the partner has too, and how many blocks went which way."""
+    lines, body = row["lines"], row["body"]
+    shared = common_lines(lines, partner) if partner is not None else set()
+    own = [i for i, b in enumerate(body) if b]
+    kept = [k for k, i in enumerate(own) if row["marked"] or i not in shared]
+    stays = [own[k] for k in kept]
+    gone = set(range(len(lines))).difference(stays)
+    return {"host": row["host"], "address": row["address"], "marked": row["marked"], "form": row["form"], "kept": kept,
+            "kept_lines": [lines[i] for i in stays], "shared": sorted({lines[i] for i in stays if i in shared}),
+            "lost": sorted(set(range(len(own))).difference(kept)), "by_difference": len(gone & shared), "by_markup": len(gone - shared)}
 
 
 def _alike(a: dict, b: dict) -> bool:
@@ -273,122 +313,160 @@ def _alike(a: dict, b: dict) -> bool:
     return 3 * shared > 2 * most and 3 * chars > 2 * longest
 
 
+def _site(row: dict) -> tuple[str, bool]:
+    """Pages that mark their article are paired among themselves."""
+    return row["host"], row["marked"]
+
+
+def _body(row: dict) -> tuple[str, bytes]:
+    return row["address"], row["digest"]
+
+
 def _runs(rows: list[dict]) -> list[tuple[int, int]]:
     """(start, end) of the runs of rows that lie on one host and are copies of their first."""
     starts: list[int] = []
     for i, row in enumerate(rows):
-        if not starts or row["host"] != rows[starts[-1]]["host"] or not _alike(rows[starts[-1]], row):
+        if not starts or _site(row) != _site(rows[starts[-1]]) or not _alike(rows[starts[-1]], row):
             starts.append(i)
     return list(zip(starts, [*starts[1:], len(rows)], strict=True))
 
 
-_SLIM = "host string, path string, address string, digest binary, hashes array<int>, sizes array<int>, lines array<int>"
-_EDGE = f"part int, place string, {_SLIM}"
+_ORDER = ("host", "marked", "path", "address", "digest", "form")
+_SLIM = ("host string, marked boolean, path string, address string, digest binary, form binary, lines array<int>, sizes array<int>, "
+         "body array<boolean>, part int")
+_SETTLED = f"{_SLIM}, role string, " + ", ".join(_KEPT.split(", ")[4:])
 
 
-def _in_order(group: pa.Table) -> list[dict]:
-    return sorted(group.to_pylist(), key=lambda r: (r["host"], r["path"], r["address"], r["digest"]))
+def _in_order(rows: list[dict]) -> list[dict]:
+    """Rows sorted, equal ones once, with the hashes of their body."""
+    out: list[dict] = []
+    last = None
+    for row in sorted(rows, key=lambda r: tuple(r[k] for k in _ORDER)):
+        if (key := tuple(row[k] for k in _ORDER)) != last:
+            last = key
+            out.append({**row, "hashes": [x for x, b in zip(row["lines"], row["body"], strict=True) if b]})
+    return out
 
 
-def _edges(group: pa.Table) -> pa.Table:
-    """What other ranges need of a range: first and last of its outer runs, and of the runs next to these on their host."""
-    rows = _in_order(group)
+def _partners(run: list[dict], before: dict | None, after: dict | None, next_before: dict | None, next_after: dict | None):
+    """Each row of a run with the lines of its partner, or None.
+
+    ``before`` and ``after`` are the rows next to the run, ``next_before`` and ``next_after`` those next to the part of it that is
+    given, copies or not.
+    """
+    following: list[dict | None] = [next_after] * len(run)
+    for i in range(len(run) - 2, -1, -1):
+        following[i] = run[i + 1] if _body(run[i + 1]) != _body(run[i]) else following[i + 1]
+    previous = next_before
+    for i, row in enumerate(run):
+        if i and _body(run[i - 1]) != _body(row):
+            previous = run[i - 1]
+        near = [r for r in (before, after) if r is not None and _site(r) == _site(row) and not _alike(r, row)]
+        if not near:
+            near = [r for r in (previous, following[i]) if r is not None and _site(r) == _site(row) and r["digest"] != row["digest"]]
+        # the one before if both are as near
+        yield row, max(near, key=lambda r: _shared_prefix(row["path"], r["path"]))["lines"] if near else None
+
+
+def _settle(batches):
+    """Differences the pages of a range, all but its first and last run, which other ranges may go on with: their rows have the role
+    ``head``, ``tail`` or, if the range is one run, ``only``.
+
+    Other roles are what other ranges need: first and last of the outer runs, the rows next to these runs on their host, and the
+    rows nearest to the ends that are not of one address and body with them.
+    """
+    schema = _arrow(_SETTLED)
+    rows = _in_order([row for batch in batches for row in batch.to_pylist()])
+    if not rows:
+        return
     runs = _runs(rows)
-    (first, _), (leader, _) = runs[0], runs[-1]
-    found = {"first": first, "leader": leader, "last": len(rows) - 1}
+    (_, second), (leader, end) = runs[0], runs[-1]
+    found = {"first": 0, "leader": leader, "last": end - 1}
     if len(runs) > 1:
-        if rows[runs[1][0]]["host"] == rows[first]["host"]:
-            found["second"] = runs[1][0]
-        if rows[leader - 1]["host"] == rows[leader]["host"]:
+        if _site(rows[second]) == _site(rows[0]):
+            found["second"] = second
+        if _site(rows[leader - 1]) == _site(rows[leader]):
             found["prior"] = leader - 1
-    return pa.Table.from_pylist([{**rows[i], "place": place} for place, i in found.items()], schema=pa.schema([
-        ("part", pa.int32()), ("place", pa.string()), ("host", pa.string()), ("path", pa.string()), ("address", pa.string()),
-        ("digest", pa.binary()), ("hashes", pa.list_(pa.int32())), ("sizes", pa.list_(pa.int32())), ("lines", pa.list_(pa.int32()))]))
-
-
-def _carried(ranges: list[dict]) -> list[tuple[dict | None, ...]]:
-    """For each range in order: the row before its first run and the row after its last, on the host and no copy of the run;
-    then the rows next to the range, whatever they are."""
+    for place, ends, steps in (("other_first", rows[0], range(len(rows))), ("other_last", rows[-1], range(end - 1, -1, -1))):
+        if (other := next((i for i in steps if _body(rows[i]) != _body(ends)), None)) is not None:
+            found[place] = other
+    edges = [{**rows[i], "role": place} for place, i in found.items()]
+    outer = {"only": (0, end)} if len(runs) == 1 else {"head": (0, second), "tail": (leader, end)}
+    left = [{**row, "role": role} for role, (start, stop) in outer.items() for row in rows[start:stop]]
+    settled = [_difference(row, partner) for start, stop in runs[1:-1]
+               for row, partner in _partners(rows[start:stop], rows[start - 1], rows[stop], rows[start - 1], rows[stop])]
+    yield from pa.Table.from_pylist([*edges, *left, *settled], schema=schema).to_batches(max_chunksize=10_000)
+
+
+def _carried(ranges: list[dict]) -> list[dict[str, tuple[dict | None, ...]]]:
+    """For each range in order what ``_partners`` asks for the rows of each role: the row before the run and the row after it, on the
+    host and no copy of the run; then the rows next to it, whatever they are, but for those of the same address and body."""
     def seek(own: dict, others, outer: str, head: str, inner: str) -> dict | None:
         for other in others:
-            if other[head]["host"] != own["host"]:
+            if _site(other[head]) != _site(own):
                 return None
             if not _alike(other[head], own):
                 return other[outer]
             if inner in other:                 # the run goes on there and ends within
                 return other[inner]
-            if other["first"]["host"] != other["last"]["host"]:
+            if _site(other["first"]) != _site(other["last"]):
                 return None
         return None
 
-    return [(seek(r["first"], reversed(ranges[:i]), "last", "leader", "prior"),
-             seek(r["leader"], ranges[i + 1:], "first", "first", "second"),
-             ranges[i - 1]["last"] if i else None, ranges[i + 1]["first"] if i + 1 < len(ranges) else None) for i, r in enumerate(ranges)]
+    def beside(own: dict, others, outer: str, inner: str) -> dict | None:
+        for other in others:
+            if _body(other[outer]) != _body(own):
+                return other[outer]
+            if inner in other:
+                return other[inner]
+        return None
+
+    out = []
+    for i, r in enumerate(ranges):
+        before = seek(r["first"], reversed(ranges[:i]), "last", "leader", "prior")
+        after = seek(r["leader"], ranges[i + 1:], "first", "first", "second")
+        next_before = beside(r["first"], reversed(ranges[:i]), "last", "other_last")
+        next_after = beside(r["last"], ranges[i + 1:], "first", "other_first")
+        out.append({"head": (before, r.get("second"), next_before, r.get("second")), "tail": (r.get("prior"), after, r.get("prior"), next_after),
+                    "only": (before, after, next_before, next_after)})
+    return out
+
 
+def read_blocks(pages: DataFrame) -> DataFrame:
+    """The parsed pages (``_PARSED``, no text) with address and host, written once."""
+    parsed = cut(pages.select("url", "html").mapInArrow(_parse, _PARSED), "page-blocks")
+    return parsed.withColumns({"address": F.coalesce("url", F.lit("")), "host": host_of(F.col("url"))})
 
-def nearest(lines: DataFrame) -> DataFrame:
-    """(address, digest, partner) from rows of ``_SLIM``: the lines of the page nearest in path order on the host that differs.
 
-    On a host whose pages are all alike it is the next page that is not equal.
+def decide(parsed: DataFrame) -> DataFrame:
+    """A row for each page with blocks, known by address and form: host, kept and lost (positions in the body), kept_lines (hashes of
+    the kept), shared (lines that stay and the partner has), and how many blocks went by differencing and how many by markup alone.
 
-    Rows are sorted by range over all hosts, so no task holds a host; the edges of
-    ranges go by the driver (five rows a range), so a neighbour in another range,
-    or beyond ranges full of copies, is found too. Rows without a partner are left out.
+    A page's partner is the nearest in path order on the host that differs; on a host whose pages are all alike it is the next page
+    that is not equal. Rows are sorted by range over all hosts, so no task holds a host, and differenced where they lie. The edges
+    of ranges go by the driver (seven rows a range at most), so a neighbour in another range, or beyond ranges full of copies, is found
+    too; only the outer runs of ranges move again. No text moves.
     """
-    slim = lines.dropDuplicates(["address", "digest"])
-    ranges = max(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-lines.count() // RANGE_ROWS))
-    ranged = cut(slim.repartitionByRange(ranges, "host", "path", "address", "digest").withColumn("part", F.spark_partition_id()), "page-order")
+    slim = parsed.filter(F.size("lines") > 0).select("host", "marked", path_of(F.col("url")).alias("path"), "address", "digest", "form",
+                                                     "lines", "sizes", "body")
+    ranges = max(int(parsed.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-slim.count() // RANGE_ROWS))
+    ranged = cut(slim.repartitionByRange(ranges, *_ORDER).withColumn("part", F.spark_partition_id()).mapInArrow(_settle, _SETTLED), "page-order")
+    left = F.col("role").isin("head", "tail", "only")
     edges: dict[int, dict] = defaultdict(dict)
-    for row in ranged.groupBy("part").applyInArrow(_edges, _EDGE).collect():
-        edges[row["part"]][row["place"]] = {**row.asDict(), "digest": bytes(row["digest"])}
+    for row in ranged.filter(~left).collect():
+        found = row.asDict() | {"digest": bytes(row["digest"])}
+        edges[row["part"]][row["role"]] = found | {"hashes": [x for x, b in zip(row["lines"], row["body"], strict=True) if b]}
     parts = sorted(edges)
     carried = dict(zip(parts, _carried([edges[p] for p in parts]), strict=True))
 
-    def partners(group: pa.Table) -> pa.Table:
-        rows = _in_order(group)
-        runs = _runs(rows)
-        before_all, after_all, last_before, first_after = carried[rows[0]["part"]]
-        out: dict[str, list] = {"address": [], "digest": [], "partner": []}
-        for k, (start, end) in enumerate(runs):
-            before = rows[start - 1] if k else before_all
-            after = rows[end] if end < len(rows) else after_all
-            for at in range(start, end):
-                row = rows[at]
-                near = [r for r in (before, after) if r is not None and r["host"] == row["host"] and not _alike(r, row)]
-                if not near:
-                    beside = (rows[at - 1] if at else last_before, rows[at + 1] if at + 1 < len(rows) else first_after)
-                    near = [r for r in beside if r is not None and r["host"] == row["host"] and r["digest"] != row["digest"]]
-                if near:                        # the one before if both are as near
-                    out["address"].append(row["address"])
-                    out["digest"].append(row["digest"])
-                    out["partner"].append(max(near, key=lambda r: _shared_prefix(row["path"], r["path"]))["lines"])
-        return pa.table([pa.array(out["address"], pa.string()), pa.array(out["digest"], pa.binary()),
-                         pa.array(out["partner"], pa.list_(pa.int32()))], ["address", "digest", "partner"])
-
-    return ranged.groupBy("part").applyInArrow(partners, "address string, digest binary, partner array<int>")
+    def rest(group: pa.Table) -> pa.Table:
+        rows = _in_order(group.to_pylist())
+        found = _partners(rows, *carried[rows[0]["part"]][rows[0]["role"]])
+        return pa.Table.from_pylist([_difference(row, partner) for row, partner in found], schema=_arrow(_KEPT))
 
-
-def read_blocks(pages: DataFrame) -> DataFrame:
-    """The parsed pages (``_PARSED``) with address and host, written once."""
-    parsed = pages.select("page_id", "url", "html").mapInArrow(_parse, _PARSED)
-    return cut(parsed.withColumns({"address": F.coalesce("url", F.lit("")), "host": host_of(F.col("url"))}), "page-blocks")
-
-
-def hashes_of_body() -> F.Column:
-    return F.filter("lines", lambda _, i: F.col("body")[i])
-
-
-def decide(parsed: DataFrame) -> DataFrame:
-    """A row for each page, known by address and form: host, kept (positions in the body), kept_lines (their hashes), shared (lines
-    that stay and the partner has), and how many blocks went by differencing and how many by markup alone. No text moves.
-    """
-    kind = F.concat_ws("\x1f", "host", "marked").alias("host")        # pages that mark their article are paired among themselves
-    lines = parsed.filter(F.size("lines") > 0).select(
-        kind, path_of(F.col("url")).alias("path"), "address", "digest", hashes_of_body().alias("hashes"),
-        F.transform("blocks", lambda b: F.char_length(b)).alias("sizes"), "lines")
-    slim = parsed.select("host", "address", "marked", "form", "lines", "body", "digest")
-    return cut(slim.join(nearest(lines), ["address", "digest"], "left").select("host", "address", "marked", "form", "lines", "body", "partner")
-               .mapInArrow(_difference, _KEPT), "page-kept")
+    names = _arrow(_KEPT).names
+    outer = cut(ranged.filter(left).groupBy("part", "role").applyInArrow(rest, _KEPT), "page-kept")
+    return ranged.filter("role IS NULL").select(names).unionByName(outer)
 
 
 def notices(kept: DataFrame) -> DataFrame:
@@ -402,11 +480,19 @@ def notices(kept: DataFrame) -> DataFrame:
         .dropDuplicates(["host", "a", "b"])
     pages = told.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= NOTICE_PAGES)
     asked = kept.select("host", F.explode("shared").alias("line")).distinct().join(pages, "host")
-    held = told.select("host", F.explode(F.array_distinct("kept_lines")).alias("line"))
-    return held.join(asked, ["host", "line"]).groupBy("host", "line", "pages").agg(F.count(F.lit(1)).alias("n")).filter("n = pages") \
+    held = told.select("host", F.explode(F.array_distinct("kept_lines")).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
+    return held.join(asked, ["host", "line"]).filter("n = pages") \
         .groupBy("host").agg(F.collect_list("line").alias("notices"))        # all on every page: no more than a page has
 
 
+def losses(kept: DataFrame) -> DataFrame:
+    """(address, form, lost): positions of the blocks that leave a body, by differencing or as notices, of the pages that lose any."""
+    every = cut(notices(kept), "page-notices")
+    noticed = F.filter(F.arrays_zip("kept", "kept_lines"), lambda b: F.array_contains(F.col("notices"), b["kept_lines"]))["kept"]
+    return kept.join(every, "host", "left").withColumn("lost", F.concat("lost", noticed)) \
+        .filter(F.size("lost") > 0).select("address", "form", "lost")
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every page.
 
@@ -415,14 +501,11 @@ def extract(pages: DataFrame) -> DataFrame:
     article and has no page on its host that differs from it keeps all blocks that
     are not left out by their markup; so repeated rows, which each stay, and equal
     pages lose nothing to each other. No other columns are read.
+
+    Pages are parsed twice: what is decided between is written without their text.
+    It comes back as the blocks to leave out, of the pages that lose any, so texts
+    only move, packed, if these are too many to be sent to every task.
     """
-    parsed = read_blocks(pages)
-    kept = decide(parsed)
-    every = notices(kept).select(F.col("host").alias("_host"), "notices")
-    silent = parsed.filter("NOT marked").join(kept.filter("NOT marked").select("address", "form", "kept").dropDuplicates(["address", "form"]), ["address", "form"]) \
-        .withColumn("hashes", F.transform("kept", lambda k: hashes_of_body()[k])).withColumn("blocks", F.transform("kept", lambda k: F.col("blocks")[k]))
-    columns = ["page_id", "url", "host", "blocks", "hashes"]
-    left = parsed.filter("marked").withColumn("hashes", hashes_of_body()).select(*columns).unionByName(silent.select(*columns)).join(every, F.col("host") == F.col("_host"), "left")
-    stays = F.filter(F.arrays_zip("blocks", "hashes"), lambda b: ~F.coalesce(F.array_contains(F.col("notices"), b["hashes"]), F.lit(False)))
-    return left.withColumn("text", F.array_join(F.transform(stays, lambda b: b["blocks"]), "\n\n")) \
-        .select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+    lost = cut(losses(decide(read_blocks(pages))), "page-lost")
+    packed = pages.select("page_id", "url", "html").mapInArrow(_pack, _TEXTS).withColumn("address", F.coalesce("url", F.lit("")))
+    return packed.join(lost, ["address", "form"], "left").select("page_id", "url", "packed", "lost").mapInArrow(_unpack, _OUT)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -158,3 +159,53 @@ def test_differencing_decides_blocks_of_the_table(spark):
         counts = {sum(i in P.common_lines(own, lines[u][0]) and b not in article for i, b in enumerate(own)) for u in beside
                   if P._shared_prefix(place[u][1], place[r["address"]][1]) == most} or {0}
         assert r["by_difference"] in counts
+
+
+def _menu_page(menu, lines):
+    return f"<body><nav>{menu}</nav>" + "".join(f"<p>{x}</p>" for x in lines) + "</body>"
+
+
+def test_one_body_in_many_forms(spark):
+    """Pages of one address and body, with other menus, fill several ranges: partners are beyond them, and each is paired."""
+    lines = [f"A paragraph of some words, number {k}." for k in range(8)]
+    rows = [(i, "http://one.org/m", _menu_page(f"Day {i}", lines)) for i in range(80)]
+    rows += [(100, "http://one.org/a", _menu_page("Day", [*lines[:7], "The last is other."])),
+             (101, "http://one.org/z", _menu_page("Day", ["The first is other.", *lines[1:]]))]
+    rows += [(i, "http://two.org/m", _menu_page(f"Day {i}", lines)) for i in range(200, 240)]
+    rows += [(300, "http://two.org/z", _menu_page("Day", ["Another page,", "with other lines."]))]
+    for ranges in (1, 7, 31):
+        got = _texts(spark, rows, ranges)
+        assert all(got[i] == lines[7] for i in range(80))          # all are alike on the host: the next that is not equal
+        assert got[100] == "The last is other." and got[101] == "The first is other."
+        assert all(got[i] == "\n\n".join(lines) for i in range(200, 240)) and got[300] == "Another page,\n\nwith other lines."
+
+
+def test_lost_blocks_are_shuffled_when_many(spark):
+    rows = [(i, f"http://h.com/{i}", SILENT.format(f"one {i}", f"uno {i}")) for i in range(40)] + [(None, "http://h.com/7", SILENT.format("one 7", "uno 7"))]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = _texts(spark, rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == {**{i: f"one {i}\n\nuno {i}" for i in range(40)}, None: "one 7\n\nuno 7"}
+
+
+def test_no_text_is_written_or_moved(spark):
+    """Pages are told apart by files much smaller than their texts, and no text is dealt by a key where little is lost."""
+    rng = random.Random(5)
+    words = {i: [f"{rng.getrandbits(12_000):x}" for _ in range(6)] for i in range(200)}
+    pages = spark.createDataFrame([(i, f"http://h{i % 9}.com/{i}", "<article>" + "".join(f"<p>{x}</p>" for x in w) + "</article>") for i, w in words.items()],
+                                  "page_id long, url string, html string")
+    root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    size = lambda: sum(f.stat().st_size for f in root.rglob("*.parquet"))
+    old, before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), size()
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+        out = P.extract(pages)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "hashpartitioning" not in plan
+    assert 0 < size() - before < sum(len(x) for w in words.values() for x in w) / 8
+    assert {r["page_id"]: r["text"] for r in out.collect()} == {i: "\n\n".join(w) for i, w in words.items()}
