@@ -575,11 +575,11 @@ def q_run_batch(spark, sf_dir):
 
 
 def q_run_batch_files(spark, sf_dir):
-    """Two deliveries of raw files through the history path."""
+    """Two deliveries of raw files, compressed as the feed's are, through the history path."""
     raw, ls = scratch_path(spark, "deliveries"), lines(spark, sf_dir)
     store = _store(spark, "run-batch-files")
     for part in (_first_batch(ls), _second_batch(ls)):
-        part.write.mode("append").text(raw)
+        part.write.mode("append").option("compression", "gzip").text(raw)
         store.run_batch(raw_path=raw, now=FIXED_NOW)
     store.run_batch(raw_path=raw, now=FIXED_NOW)     # no new file
     return _status_rows(store.bronze())

@@ -140,3 +140,10 @@ def test_bronze_is_written_from_small_splits(spark, monkeypatch):
             store.run_batch(**more)
             assert store.bronze().select(F.input_file_name()).distinct().count() == files
     assert spark.conf.get(SPLIT, None) is None
+
+
+def test_deliveries_are_compressed(spark):
+    Rg.q_run_batch_files(spark, SMALL_SF)
+    [*_, newest] = sorted(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/silverline/deliveries-*"), key=os.path.getmtime)
+    parts = glob.glob(f"{newest}/part-*")
+    assert parts and all(f.endswith(".gz") for f in parts)
